@@ -260,6 +260,9 @@ NOT_NULL = " AND ".join(f"{n} IS NOT NULL" for n in feature_columns(2))
 COUNT_NAMES = [f"m{k}_normal_num" for k in range(1, 13)] + [f"m{k}_bankruptcy_related_num" for k in range(1, 13)]
 
 
+CLOSE = "round(close::DECIMAL(38, 12), 6)::DOUBLE"  # decimal ties round as in Spark
+
+
 # -- serving -----------------------------------------------------------------------------
 
 
@@ -374,7 +377,7 @@ ORACLE: dict[str, str] = {
     },
     "stock_lookback": sql(
         "prices horizons",
-        """SELECT code, horizon, day AS date, round(close, 6) AS close, round(volume, 6) AS volume
+        f"""SELECT code, horizon, day AS date, {CLOSE} AS close, round(volume, 6) AS volume
            FROM prices JOIN horizons USING (code) WHERE day BETWEEN as_of - 1 - 1096 AND as_of - 1""",
     ),
     "trade_share_delta": sql(
@@ -414,7 +417,7 @@ ORACLE: dict[str, str] = {
             LEFT JOIN t_macro USING (code) LEFT JOIN t_gdp USING (code)""",
         **feature_tables("live", live=True),
     ),
-    "closing_price_365": daily("close", "round(close, 6)"),
+    "closing_price_365": daily("close", CLOSE),
     "volume_365": daily("volume", "volume"),
     "sell_share_daily": sql(
         "companies prices",
@@ -479,7 +482,7 @@ ORACLE: dict[str, str] = {
     + " FROM events GROUP BY 1, 2",
     "fk_filter": sql(
         "companies prices",
-        """SELECT code, day AS date, round(close, 6) AS close, round(volume, 6) AS volume FROM prices
+        f"""SELECT code, day AS date, {CLOSE} AS close, round(volume, 6) AS volume FROM prices
            WHERE code IN (SELECT code FROM companies WHERE delisted_check)""",
     ),
     "filing_select": sql(
