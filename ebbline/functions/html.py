@@ -52,8 +52,8 @@ def script_call_arguments(html: Column, function: str, marker: str | None = None
 
 
 def viewer_link(html: Column, base: str, names: list[str], function: str, marker: str | None = None) -> Column:
-    """Link of the page that a script opens, rebuilt from the call's arguments."""
+    """Link of the page that a script opens, rebuilt from the call's arguments; NULL without them."""
     args = script_call_arguments(html, function, marker)
-    pairs = [F.concat(F.lit(f"{n}="), F.get(args, i)) for i, n in enumerate(names)]
-    link = F.concat(F.lit(base + "?"), F.concat_ws("&", *pairs))
-    return F.when(F.size(args) >= len(names), link)
+    keys = F.array(*[F.lit(n) for n in names])
+    pairs = F.zip_with(keys, F.slice(args, 1, len(names)), lambda k, v: F.concat(k, F.lit("="), v))
+    return F.concat(F.lit(base + "?"), F.when(~F.exists(pairs, F.isnull), F.array_join(pairs, "&")))

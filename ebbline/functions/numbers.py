@@ -24,10 +24,6 @@ def count_where(cond: Column) -> Column:
     return F.count_if(F.coalesce(cond, F.lit(False)))
 
 
-def sum_where(cond: Column, value: Column) -> Column:
-    return F.sum(F.when(cond, value))
-
-
 def hash_int(*parts: Column) -> Column:
     """32 hash bits as a bigint; the same on every engine that has md5."""
     text = F.concat_ws("|", *[p.cast("string") for p in parts])

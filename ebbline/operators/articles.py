@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ebbline.functions import text as T
+from ebbline.operators.quality import complete_rows
 from ebbline.operators.ranking import before_cut, hash_cut, hashed
 
 # Look-back of a company's news search.
@@ -75,7 +76,7 @@ def pending(wanted: DataFrame, done: DataFrame, key: str) -> DataFrame:
 def merge_on_common(left: DataFrame, right: DataFrame) -> DataFrame:
     """Inner join on all common columns, rows with any NULL dropped."""
     common = [c for c in left.columns if c in right.columns]
-    return left.join(right, common).na.drop("any")
+    return complete_rows(left.join(right, common))
 
 
 def union_sources(sources: Sequence[tuple[DataFrame, Mapping[str, str]]], columns: Sequence[str]) -> DataFrame:

@@ -34,7 +34,7 @@ def latest_statements(finance: DataFrame, dim: DataFrame, years: int, published_
     Statements join their company first (a company has one row per year), then one shuffle on
     (code, horizon) serves the ranking and the pivot.  ``published_only=False`` is the live
     rule: newest years without a date filter.  Companies with any gap are kept here; see
-    :func:`complete_only`.
+    :func:`ebbline.operators.quality.complete_rows`.
     """
     known = with_debt_ratio(with_deadline(finance))
     joined = known.join(dim, "code")
@@ -43,13 +43,8 @@ def latest_statements(finance: DataFrame, dim: DataFrame, years: int, published_
     newest = Window.partitionBy("code", "horizon").orderBy(F.desc("fiscal_year"), F.desc("closing_month"))
     ranked = joined.withColumn("rn", F.row_number().over(newest)).where(F.col("rn") <= years)
     cells = [
-        F.max(F.when(F.col("rn") == k, F.col(m))).alias(f"y{k}_{m}")
+        F.expr(f"max({m}) FILTER (WHERE rn = {k}) AS y{k}_{m}")
         for k in range(1, years + 1)
         for m in STATEMENT_MEASURES
     ]
     return ranked.groupBy("code", "horizon").agg(*cells)
-
-
-def complete_only(df: DataFrame) -> DataFrame:
-    """Drop rows with any NULL."""
-    return df.na.drop("any")

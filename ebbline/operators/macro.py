@@ -27,9 +27,7 @@ def _lagged_by_month(monthly: DataFrame, series: Sequence[str]) -> DataFrame:
     spread = monthly.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(MONTHS)))).withColumn(
         "anchor", F.expr("add_months(month, k - 1)")
     )
-    cells = [
-        F.max(F.when(F.col("k") == k, F.col(s))).alias(f"m{k}_{s}") for s in series for k in range(1, MONTHS + 1)
-    ]
+    cells = [F.expr(f"max({s}) FILTER (WHERE k = {k}) AS m{k}_{s}") for s in series for k in range(1, MONTHS + 1)]
     return spread.groupBy("anchor").agg(*cells)
 
 
@@ -50,7 +48,7 @@ def gdp_lags(yearly: DataFrame, dim: DataFrame) -> DataFrame:
     spread = yearly.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(GDP_YEARS)))).withColumn(
         "anchor_year", F.col("year") + F.col("k")
     )
-    cells = [F.max(F.when(F.col("k") == k, F.col("gdp_growth"))).alias(f"y{k}_gdp_growth") for k in (1, 2, 3)]
+    cells = [F.expr(f"max(gdp_growth) FILTER (WHERE k = {k}) AS y{k}_gdp_growth") for k in (1, 2, 3)]
     lagged = F.broadcast(spread.groupBy("anchor_year").agg(*cells))
     anchored = dim.withColumn("anchor_year", F.year("as_of"))
     return anchored.join(lagged, "anchor_year", "left").select(

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ebbline.functions.dates import months_back
-from ebbline.functions.numbers import count_where, guarded_ratio, share
+from ebbline.functions.numbers import count_where, share
 from ebbline.operators.asof import within_reach
 
 MONTHS = 12
@@ -43,26 +42,22 @@ def news_ratio(links: DataFrame, articles: DataFrame, dim: DataFrame) -> DataFra
     """
     recent = within_reach(articles, "published_date", dim, months=MONTHS)
     days = daily_article_counts(links, recent).join(dim, "code")
-    day, as_of = F.col("published_date"), F.col("as_of")
-    days = days.where(day.between(months_back(as_of, MONTHS), as_of))
-    sums = []
-    for k in range(1, MONTHS + 1):
-        inside = day.between(months_back(as_of, k), months_back(as_of, k - 1))
-        for name in ("n_all", "n_related", "n_normal"):
-            sums.append(F.coalesce(F.sum(F.when(inside, F.col(name))), F.lit(0)).alias(f"_{name}_{k}"))
+    days = days.where(F.expr(f"published_date BETWEEN add_months(as_of, -{MONTHS}) AND as_of"))
+    inside = "published_date BETWEEN add_months(as_of, -{k}) AND add_months(as_of, 1 - {k})"
+    sums = [
+        F.expr(f"sum({n}) FILTER (WHERE {inside.format(k=k)}) AS {n}_{k}")
+        for n in ("n_all", "n_related", "n_normal")
+        for k in range(1, MONTHS + 1)
+    ]
     sparse = days.groupBy("code", "horizon").agg(*sums)
     filled = dim.select("code", "horizon").join(sparse, ["code", "horizon"], "left")
-
-    def n(name: str, k: int):
-        return F.coalesce(F.col(f"_{name}_{k}"), F.lit(0))
-
     months = range(1, MONTHS + 1)
-    return filled.select(
+    return filled.selectExpr(
         "code",
         "horizon",
-        *[guarded_ratio(n("n_related", k), n("n_all", k)).alias(f"m{k}") for k in months],
-        *[n("n_normal", k).alias(f"m{k}_normal_num") for k in months],
-        *[n("n_related", k).alias(f"m{k}_bankruptcy_related_num") for k in months],
+        *[f"coalesce(try_divide(n_related_{k}, n_all_{k}), 0D) AS m{k}" for k in months],
+        *[f"coalesce(n_normal_{k}, 0) AS m{k}_normal_num" for k in months],
+        *[f"coalesce(n_related_{k}, 0) AS m{k}_bankruptcy_related_num" for k in months],
     )
 
 

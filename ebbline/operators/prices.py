@@ -6,11 +6,11 @@ trading days; joins and groupings by company stay balanced.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ebbline.functions.numbers import share, sum_where
 from ebbline.operators.asof import within_reach
+from ebbline.operators.quality import complete_rows
 
 INVESTORS = ("foreign", "inst", "indiv")
 RETURNS = ("ret_1m", "ret_3m", "ret_6m")
@@ -38,9 +38,10 @@ def look_back(prices: DataFrame, dim: DataFrame, days: int = 1096) -> DataFrame:
     return near.join(dim, "code").where(F.col("date").between(F.date_sub(last, days), last))
 
 
-def _window_share(side: str, investor: str, in_window: Column) -> Column:
-    sums = {i: F.coalesce(sum_where(in_window, F.col(f"{side}_{i}")), F.lit(0.0)) for i in INVESTORS}
-    return share(sums[investor], *[s for i, s in sums.items() if i != investor])
+def _window_share(side: str, investor: str, first: int, last: int) -> str:
+    """Share of one investor class in the trades of one window; NULL without trades."""
+    total = {i: f"coalesce(sum({side}_{i}) FILTER (WHERE age BETWEEN {first} AND {last}), 0D)" for i in INVESTORS}
+    return f"try_divide({total[investor]}, {' + '.join(total.values())})"
 
 
 def share_deltas(prices: DataFrame, dim: DataFrame, bounds: str = "train") -> DataFrame:
@@ -50,27 +51,21 @@ def share_deltas(prices: DataFrame, dim: DataFrame, bounds: str = "train") -> Da
     trades in any window are dropped.
     """
     windows = SHARE_WINDOWS[bounds]
-    age = F.datediff("as_of", "date")
     reach = within_reach(prices.where(F.col("close").isNotNull()), "date", dim, days=windows[-1][1])
     aged = (
         reach.join(dim, "code")
-        .withColumn("age", age)
+        .withColumn("age", F.datediff("as_of", "date"))
         .where(F.col("age").between(windows[0][0], windows[-1][1]))
     )
+    pairs = [(investor, side) for investor in ("foreign", "inst") for side in ("sell", "buy")]
     shares = [
-        _window_share(side, investor, F.col("age").between(*w)).alias(f"_{investor}_{side}_{k}")
-        for investor in ("foreign", "inst")
-        for side in ("sell", "buy")
-        for k, w in enumerate(windows, start=1)
+        F.expr(f"{_window_share(s, i, *window)} AS {i}_{s}_{k}")
+        for i, s in pairs
+        for k, window in enumerate(windows, start=1)
     ]
     wide = aged.groupBy("code", "horizon").agg(*shares)
-    deltas = [
-        (F.col(f"_{i}_{s}_{k}") - F.col(f"_{i}_{s}_{k + 1}")).alias(f"{i}_{s}_r{k}_r{k + 1}")
-        for i in ("foreign", "inst")
-        for s in ("sell", "buy")
-        for k in (1, 2, 3)
-    ]
-    return wide.select("code", "horizon", *deltas).na.drop("any")
+    deltas = [f"{i}_{s}_{k} - {i}_{s}_{k + 1} AS {i}_{s}_r{k}_r{k + 1}" for i, s in pairs for k in (1, 2, 3)]
+    return complete_rows(wide.selectExpr("code", "horizon", *deltas))
 
 
 def return_snapshot(prices: DataFrame, dim: DataFrame, days_before: int = 1) -> DataFrame:

@@ -8,6 +8,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def complete_rows(df: DataFrame) -> DataFrame:
+    """Rows without any NULL.
+
+    One condition per column: a single test over all columns would be rewritten by the
+    optimizer once per combination of computed columns.
+    """
+    return df.where(" AND ".join(f"`{c}` IS NOT NULL" for c in df.columns))
+
+
 def _row(df: DataFrame, check: str, table: str, column: str, n) -> DataFrame:
     return df.agg(n.cast("bigint").alias("n")).select(
         F.lit(check).alias("check"), F.lit(table).alias("table_name"), F.lit(column).alias("column_name"), "n"

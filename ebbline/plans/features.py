@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ebbline.operators import asof, audit, finance, macro, news, prices
+from ebbline.operators.quality import complete_rows
 
 GDP_COLUMNS = [f"y{k}_gdp_growth" for k in range(1, macro.GDP_YEARS + 1)]
 AUDIT_ORDER = ["order_key", "line_number"]
@@ -42,7 +43,7 @@ def training_mart(tables, years: int = 2, horizon: str | None = None) -> DataFra
     day = tables.prices()
     mart = _joined(
         [
-            finance.complete_only(finance.latest_statements(tables.finance(), dim, years)),
+            complete_rows(finance.latest_statements(tables.finance(), dim, years)),
             prices.share_deltas(day, dim),
             prices.return_snapshot(day, dim),
             news.news_ratio(tables.links(), tables.articles(), dim).select("code", "horizon", *news.RATIO_COLUMNS),
@@ -52,7 +53,7 @@ def training_mart(tables, years: int = 2, horizon: str | None = None) -> DataFra
         ]
     )
     labelled = mart.join(companies.select("code", "bankruptcy"), "code")
-    return labelled.select("code", "horizon", *feature_columns(years), "bankruptcy").na.drop("any")
+    return complete_rows(labelled.select("code", "horizon", *feature_columns(years), "bankruptcy"))
 
 
 def live_features(tables, as_of: Column, years: int = 2) -> DataFrame:

@@ -32,8 +32,7 @@ def query(build: Callable[[Domain], DataFrame]) -> Callable[[Domain], DataFrame]
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    doubles = [c for c, t in df.dtypes if t == "double"]
-    return df.withColumns({c: F.round(c, digits) for c in doubles})
+    return df.selectExpr(*[f"round({c}, {digits}) AS {c}" if t == "double" else c for c, t in df.dtypes])
 
 
 # -- point-in-time marts -----------------------------------------------------------------
@@ -57,13 +56,13 @@ def debt_ratio(d: Domain) -> DataFrame:
 @query
 def finance_asof_pivot(d: Domain) -> DataFrame:
     wide = finance.latest_statements(d.finance(), asof.horizons(d.companies()), years=2)
-    return rounded(finance.complete_only(wide))
+    return rounded(quality.complete_rows(wide))
 
 
 @query
 def finance_asof_pivot_3y(d: Domain) -> DataFrame:
     wide = finance.latest_statements(d.finance(), asof.horizons(d.companies()), years=3)
-    return rounded(finance.complete_only(wide))
+    return rounded(quality.complete_rows(wide))
 
 
 @query
