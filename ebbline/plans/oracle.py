@@ -605,3 +605,100 @@ ORACLE: dict[str, str] = {
     + """ AS url FROM (SELECT *, strftime(l_shipdate, '%Y%m%d') AS day,
             strftime(l_shipdate, '%Y%m%d') || lpad(l_orderkey::VARCHAR, 12, '0') || l_linenumber AS rcp_no FROM lineitem)""",
 }
+
+# -- resampling and metrics --------------------------------------------------------------
+
+ML = "SELECT vec_id AS id, embedding::DOUBLE[] AS features, (label = 0)::INTEGER AS label FROM embeddings"
+JUDGED = """SELECT doc_id, quality AS label, (n_chars >= 1000)::INTEGER AS prediction FROM labels JOIN documents USING (doc_id)"""
+
+
+def hashed(*parts: str) -> str:
+    text = " || '|' || ".join(f"({p})::VARCHAR" for p in parts)
+    return f"md5({text})"
+
+
+def hash_number(*parts: str) -> str:
+    return f"('0x' || substr({hashed(*parts)}, 1, 8))::BIGINT"
+
+
+def split_rows(source: str, key: str) -> str:
+    return f"""SELECT split, {key}, label, rn <= round(n * 0.25) AS is_test FROM (
+        SELECT split, {key}, label, count(*) OVER (PARTITION BY split, label) AS n,
+               row_number() OVER (PARTITION BY split, label ORDER BY {hashed(key, "20", "split")}, {key}) AS rn
+        FROM {source}, range(1, 31) r(split))"""
+
+
+def report(source: str, by: str = "") -> str:
+    parts = []
+    for c in (0, 1):
+        tp = f"count(*) FILTER (label = {c} AND prediction = {c})"
+        guessed, actual = f"count(*) FILTER (prediction = {c})", f"count(*) FILTER (label = {c})"
+        parts += [
+            f"coalesce({tp} / nullif({guessed}, 0), 0) AS precision_{c}",
+            f"coalesce({tp} / nullif({actual}, 0), 0) AS recall_{c}",
+            f"coalesce(2 * {tp} / nullif({guessed} + {actual}, 0), 0) AS f1_{c}",
+        ]
+    head = f"{by}, " if by else ""
+    tail = f" GROUP BY {by}" if by else ""
+    return f"SELECT {head}{', '.join(parts)}, count(*) FILTER (label = prediction) / count(*) AS accuracy FROM {source}{tail}"
+
+
+SCORES = [f"{m}_{c}" for c in (0, 1) for m in ("precision", "recall", "f1")] + ["accuracy"]
+
+DRAW_TABLES = {
+    "ml": ML,
+    "n": "SELECT count(*) FILTER (label = 0) AS n0, count(*) FILTER (label = 1) AS n1 FROM ml",
+    "draws": f"""SELECT id AS token FROM (
+        SELECT id, row_number() OVER (ORDER BY {hashed("id", "20")}, id) AS rn FROM ml WHERE label = 0), n WHERE rn <= n0 - n1""",
+    "rare": f"SELECT *, row_number() OVER (ORDER BY {hashed('id', '20')}, id) AS rank FROM ml WHERE label = 1",
+    "picked": f"""SELECT token, id, features FROM (
+        SELECT token, {hash_number("token", "20", "'base'")} % n1 + 1 AS rank FROM draws, n) JOIN rare USING (rank)""",
+}
+
+
+def near_rows(candidates: str) -> str:
+    """Brute-force neighbours of the rare rows."""
+    return f"""SELECT id, neighbour, row_number() OVER (PARTITION BY id ORDER BY d, neighbour) AS pos FROM (
+        SELECT a.id, b.id AS neighbour,
+               list_sum(list_transform(list_zip(a.features, b.features), lambda p: (p[1] - p[2]) ** 2)) AS d
+        FROM rare a JOIN {candidates} b ON a.id <> b.id) QUALIFY pos <= 5"""
+
+
+POINTS = "id, token, label, round(list_sum(features), 5) AS total, round(features[1], 5) AS first"
+GIVEN = "SELECT id, NULL::BIGINT AS token, features, label FROM ml"
+
+ORACLE |= {
+    "stratified_split": f"WITH ml AS ({ML}) {split_rows('ml', 'id')}",
+    "stratified_folds": f"""WITH ml AS ({ML}) SELECT id, label,
+            (rn > round(n * 0.25))::INTEGER + (rn > round(n * 0.5))::INTEGER + (rn > round(n * 0.75))::INTEGER AS fold FROM (
+        SELECT id, label, count(*) OVER (PARTITION BY label) AS n,
+               row_number() OVER (PARTITION BY label ORDER BY {hashed("id", "20")}, id) AS rn FROM ml)""",
+    "random_oversample": sql(
+        "", f"SELECT {POINTS} FROM ({GIVEN} UNION ALL SELECT id, token, features, 1 FROM picked)", **DRAW_TABLES
+    ),
+    "smote": sql(
+        "",
+        f"""SELECT {POINTS} FROM ({GIVEN} UNION ALL
+            SELECT p.id, p.token, list_transform(list_zip(p.features, o.features),
+                   lambda z: z[1] + {hash_number("p.token", "20", "'gap'")} / 4294967296::DOUBLE * (z[2] - z[1])), 1
+            FROM picked p JOIN near ON near.id = p.id AND near.pos = {hash_number("p.token", "20", "'neighbour'")} % 5 + 1
+            JOIN rare o ON o.id = near.neighbour)""",
+        **DRAW_TABLES,
+        near=near_rows("rare"),
+    ),
+    "adasyn_allocation": sql(
+        "",
+        """SELECT id, coalesce(round_even(r / nullif(sum(r) OVER (), 0) * (n0 - n1), 0), 0)::BIGINT AS n_new FROM (
+            SELECT near.id, sum((m.label = 0)::INTEGER) / 5::DOUBLE AS r
+            FROM near JOIN ml m ON m.id = near.neighbour GROUP BY near.id), n""",
+        ml=ML,
+        n=DRAW_TABLES["n"],
+        rare="SELECT * FROM ml WHERE label = 1",
+        near=near_rows("ml"),
+    ),
+    "classification_report": f"WITH j AS ({JUDGED}), r AS ({report('j')}) SELECT {cols(SCORES)} FROM r",
+    "split_scoreboard": f"""WITH j AS ({JUDGED}), s AS ({split_rows("j", "doc_id")}),
+        p AS (SELECT split, CASE WHEN is_test THEN 'test' ELSE 'train' END AS part, s.label, prediction
+              FROM s JOIN j USING (doc_id)), r AS ({report("p", "split, part")})
+        SELECT part, {cols(SCORES, "round_even(avg({0}), 3) AS {0}")} FROM r GROUP BY part""",
+}
