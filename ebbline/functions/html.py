@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ebbline.functions.binding import let
+
 _HIDDEN = r"(?is)<(script|style)\b[^>]*>.*?</\1\s*>|<!--.*?-->"
 
 # Named character references that occur in page text.
@@ -46,14 +48,18 @@ def element_texts(html: Column, tag: str) -> Column:
 
 def script_call_arguments(html: Column, function: str, marker: str | None = None) -> Column:
     """Arguments of the first ``function(...)`` call, or of the one after the last marker word."""
-    head = "" if marker is None else rf".*{marker}.*?"
-    call = F.regexp_extract(html, rf"(?s){head}{function}\((.*?)\)", 1)
-    return F.split(F.regexp_replace(call, r"['\s]", ""), ",")
+    script = html
+    if marker is not None:
+        script = F.when(F.contains(html, F.lit(marker)), F.substring_index(html, marker, -1))
+    call = F.regexp_extract(script, rf"(?s)\b{function}\((.*?)\)", 1)
+    return F.split(F.translate(call, "' \t\r\n", ""), ",")
 
 
 def viewer_link(html: Column, base: str, names: list[str], function: str, marker: str | None = None) -> Column:
     """Link of the page that a script opens, rebuilt from the call's arguments; NULL without them."""
-    args = script_call_arguments(html, function, marker)
-    keys = F.array(*[F.lit(n) for n in names])
-    pairs = F.zip_with(keys, F.slice(args, 1, len(names)), lambda k, v: F.concat(k, F.lit("="), v))
-    return F.concat(F.lit(base + "?"), F.when(~F.exists(pairs, F.isnull), F.array_join(pairs, "&")))
+
+    def link(args: Column) -> Column:
+        pairs = [F.concat(F.lit(f"{n}="), F.get(args, F.lit(i))) for i, n in enumerate(names)]
+        return F.concat(F.lit(base + "?"), *[p for pair in pairs for p in (F.lit("&"), pair)][1:])
+
+    return let(script_call_arguments(html, function, marker), link)

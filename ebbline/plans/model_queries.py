@@ -118,7 +118,7 @@ def prediction_panel(d: Domain) -> DataFrame:
 @query
 def word_vectors(d: Domain) -> DataFrame:
     """Skip-gram vectors of the documents' terms: length of each vector."""
-    tokens = durable(terms.tokenize(d.raw("documents").select("doc_id", "text"), "text", "tokens").select("tokens"))
+    tokens = durable(terms.tokenize(d.texts("documents", "doc_id"), "text", "tokens").select("tokens"))
     vectors = terms.vectors_of(terms.train_vectors(tokens, "tokens"))
     return vectors.select("term", F.size("vector").alias("dimensions"))
 
@@ -126,7 +126,7 @@ def word_vectors(d: Domain) -> DataFrame:
 @query
 def similar_words(d: Domain) -> DataFrame:
     """Nearest 30 words of the most frequent one, among the 30,000 most frequent."""
-    tokens = durable(terms.tokenize(d.raw("documents").select("doc_id", "text"), "text", "tokens").select("tokens"))
+    tokens = durable(terms.tokenize(d.texts("documents", "doc_id"), "text", "tokens").select("tokens"))
     counts = terms.term_counts(tokens, "tokens")
     vectors = terms.vectors_of(terms.train_vectors(tokens, "tokens"))
     known = terms.most_frequent(vectors, counts)

@@ -13,6 +13,7 @@ from ebbline.operators import articles as A
 from ebbline.operators import asof, audit, finance, macro, news, prices, quality, ranking, reshape, terms
 from ebbline.plans import features, serving
 from ebbline.sources.domain import Domain
+from ebbline.sources.files import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -362,17 +363,17 @@ def class_share(d: Domain) -> DataFrame:
 
 @query
 def text_cleanse(d: Domain) -> DataFrame:
-    return d.raw("documents").select("doc_id", T.cleanse(F.col("text")).alias("text"))
+    return d.texts("documents", "doc_id").select("doc_id", T.cleanse(F.col("text")).alias("text"))
 
 
 @query
 def press_cleanse(d: Domain) -> DataFrame:
-    return d.raw("pages").select("page_id", T.cleanse_press(F.col("html"), [*T.PRESS_MARKS, "###", "***"]).alias("body"))
+    return d.texts("pages", "page_id").select("page_id", T.cleanse_press(F.col("html"), [*T.PRESS_MARKS, "###", "***"]).alias("body"))
 
 
 @query
 def keyword_flag(d: Domain) -> DataFrame:
-    docs = d.raw("documents").select("doc_id", "text")
+    docs = d.texts("documents", "doc_id").select("doc_id", "text")
     flagged = A.flag_articles(docs, "text", DOC_TERMS)
     fixed = T.contains_any(F.col("text"), T.DISTRESS_TERMS)
     return flagged.select("doc_id", "related", fixed.alias("related_fixed_terms"))
@@ -381,12 +382,12 @@ def keyword_flag(d: Domain) -> DataFrame:
 @query
 def going_concern_flag(d: Domain) -> DataFrame:
     doubt = T.going_concern(F.col("text"), DOC_SUBJECT, DOC_DOUBTS)
-    return d.raw("documents").select("doc_id", doubt.alias("n_opinion"), T.going_concern(F.col("text")).alias("n_opinion_fixed_terms"))
+    return d.texts("documents", "doc_id").select("doc_id", doubt.alias("n_opinion"), T.going_concern(F.col("text")).alias("n_opinion_fixed_terms"))
 
 
 @query
 def tokenize(d: Domain) -> DataFrame:
-    tokens = terms.tokenize(d.raw("documents"), "text", "tokens")
+    tokens = terms.tokenize(d.texts("documents", "doc_id"), "text", "tokens")
     return tokens.select("doc_id", F.size("tokens").alias("n_tokens"), F.array_join("tokens", " ").alias("tokens"))
 
 
@@ -402,7 +403,7 @@ def html_extract(d: Domain) -> DataFrame:
     page = H.visible(F.col("html"))
     paragraphs = H.element_texts(F.col("page"), "p")
     return (
-        d.raw("pages")
+        d.texts("pages", "page_id")
         .select("page_id", page.alias("page"))
         .select(
             "page_id",
@@ -423,5 +424,5 @@ def link_rebuild(d: Domain) -> DataFrame:
         number, F.lit("', '"), F.substring(number, 9, 12), F.lit("', '"), F.substring(number, 21, 1),
         F.lit("', '"), F.col("rcp_dt"), F.lit("', '"), F.col("code").cast("string"), F.lit("', 'dart3.xsd'); } });"),
     )
-    pages = d.filings().select("rcp_no", call.alias("html"))
+    pages = spread(d.filings(), "rcp_no").select("rcp_no", call.alias("html"))
     return pages.select("rcp_no", H.viewer_link(F.col("html"), VIEWER, VIEWER_ARGS, "viewDoc", "감사보고서").alias("url"))
