@@ -57,7 +57,7 @@ def select_filings(filings: DataFrame, companies: DataFrame, base_url: str) -> D
     active = dated.where(F.col("delisted_date").isNull())
     gone = dated.where(F.col("filed_on") <= F.col("delisted_date")).withColumn("period", period)
     heads = run_heads(
-        gone, "code", F.trunc("filed_on", "month"), [("filed_on", True), ("rcp_no", True)], "period"
+        gone, "code", F.col("filed_on"), [("filed_on", True), ("rcp_no", True)], "period"
     ).drop("period")
     order = [F.desc("filed_on"), F.desc("rcp_no")]
     kept = latest_n_skewed(active.unionByName(heads), ["code"], order, FILINGS, salt_on=["rcp_no"])

@@ -87,17 +87,23 @@ def predict(model: Model, df: DataFrame) -> DataFrame:
     )
 
 
-def _fit_and_report(train: DataFrame, test: DataFrame, build: Callable, sampler: str, **params) -> DataFrame:
-    """Reports of one fit; only the training rows are resampled."""
-    resampled = durable(SAMPLERS[sampler](train))
-    model = fit(resampled, build(**params))
+def _fit_and_report(train: DataFrame, test: DataFrame, estimator) -> DataFrame:
+    """Train and test reports of one fit."""
+    model = fit(train, estimator)
     scored = [
         predict(model, part).select(F.lit(name).alias("part"), "label", "prediction")
-        for name, part in (("train", resampled), ("test", test))
+        for name, part in (("train", train), ("test", test))
     ]
     return metrics.class_report(reduce(DataFrame.unionByName, scored), "label", "prediction", ["part"])
 
 
+def _resampled(df: DataFrame, is_test: Column, sampler: str) -> tuple[DataFrame, DataFrame]:
+    """Training rows, resampled and written once for all fits that use them, and test rows."""
+    rows = df.select("id", "features", "label", is_test.alias("_test"))
+    train, test = (rows.where(F.col("_test") == flag).drop("_test") for flag in (False, True))
+    return durable(SAMPLERS[sampler](train)), test
+
+
 def _rows(spark_rows: Sequence, extra: Mapping) -> list[dict]:
     return [{**extra, **r.asDict()} for r in spark_rows]
 
@@ -120,13 +126,15 @@ def compare(
     split = durable(base.join(stratified_split(base, "id", "label", n_splits), ["id", "label"]))
 
     def run(job):
-        i, m, s = job
-        part = split.where(F.col("split") == i)
-        train, test = (part.where(F.col("is_test") == flag).drop("split", "is_test") for flag in (False, True))
-        report = _fit_and_report(train, test, MODELS[m], s, **(params or {}).get(m, {}))
-        return _rows(report.collect(), {"model": m, "sampler": s, "split": i})
-
-    jobs = list(product(range(1, n_splits + 1), models, samplers))
+        i, s = job
+        train, test = _resampled(split.where(F.col("split") == i), F.col("is_test"), s)
+        found = []
+        for m in models:
+            report = _fit_and_report(train, test, MODELS[m](**(params or {}).get(m, {})))
+            found += _rows(report.collect(), {"model": m, "sampler": s, "split": i})
+        return found
+
+    jobs = list(product(range(1, n_splits + 1), samplers))
     with ThreadPool(parallelism) as pool:
         found = [r for rows in pool.map(run, jobs) for r in rows]
     return metrics.scoreboard(spark.createDataFrame(found), ["model", "sampler", "part"])
@@ -157,13 +165,14 @@ def grid_search(
     score = {"f1": "f1_1", "f1_micro": "accuracy"}[scoring]
     points = [dict(zip(grid, values)) for values in product(*grid.values())]
 
-    def run(job):
-        point, k = job
-        train, test = folded.where(F.col("fold") != k).drop("fold"), folded.where(F.col("fold") == k).drop("fold")
-        report = _fit_and_report(train, test, build, sampler, **{**(fixed or {}), **point})
-        return [{**point, "fold": k, "part": r["part"], "score": float(r[score])} for r in report.collect()]
-
     with ThreadPool(parallelism) as pool:
+        sides = pool.map(lambda k: _resampled(folded, F.col("fold") == k, sampler), range(folds))
+
+        def run(job):
+            point, k = job
+            report = _fit_and_report(*sides[k], build(**{**(fixed or {}), **point}))
+            return [{**point, "fold": k, "part": r["part"], "score": float(r[score])} for r in report.collect()]
+
         found = [r for rows in pool.map(run, list(product(points, range(folds)))) for r in rows]
     scores = spark.createDataFrame(found).groupBy(*grid).agg(
         F.expr("avg(score) FILTER (WHERE part = 'test') AS mean_test_score"),

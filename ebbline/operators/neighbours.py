@@ -91,7 +91,6 @@ def nearest(queries: DataFrame, candidates: DataFrame, k: int, cells: int | None
     # Rows with equal vectors share one search.
     asked = queries.select("id", "features")
     unique = asked.groupBy("features").agg(F.min("id").alias("id"))
-    groups = max(1, math.ceil(unique.count() / QUERY_ROWS))
 
     def visits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -117,15 +116,21 @@ def nearest(queries: DataFrame, candidates: DataFrame, k: int, cells: int | None
     def lit_array(values: np.ndarray):
         return F.array(*[F.lit(int(v)) for v in values])
 
-    group = F.pmod(F.xxhash64("id"), F.lit(groups)).cast("int").alias("part")
-    asks = unique.mapInPandas(visits, "id bigint, features array<double>, cell int, block int").select("*", group)
+    schema = "id bigint, features array<double>, cell int, block int"
+    visitors = unique.mapInPandas(visits, schema)
+    # Rows per cell that come to look (one number per cell) set how often a cell is repeated.
+    groups = np.ones(len(pivots), dtype=np.int64)
+    for row in visitors.where("block = 0").groupBy("cell").count().collect():
+        groups[row["cell"]] = math.ceil(row["count"] / QUERY_ROWS)
     cell_blocks = F.element_at(lit_array(blocks), F.col("cell") + 1)
+    cell_groups = F.element_at(lit_array(groups), F.col("cell") + 1)
+    asks = visitors.select("*", F.pmod(F.xxhash64("id"), cell_groups).cast("int").alias("part"))
     offers = placed.select(
         "id",
         "features",
         "cell",
         F.pmod(F.xxhash64("id"), cell_blocks).cast("int").alias("block"),
-        F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("part"),
+        F.explode(F.sequence(F.lit(0), (cell_groups - 1).cast("int"))).alias("part"),
     )
 
     def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:

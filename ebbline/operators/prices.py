@@ -22,6 +22,9 @@ SHARE_WINDOWS = {
     "live": ((0, 30), (31, 60), (61, 90), (91, 120)),
 }
 
+# Age of the day whose returns are taken.
+SNAPSHOT_AGE = {"train": 1, "live": 0}
+
 # Feature order: foreign before institutional, sell before buy, newest change first.
 SHARE_DELTAS = [
     f"{investor}_{side}_r{k}_r{k + 1}"
@@ -40,18 +43,18 @@ def look_back(prices: DataFrame, dim: DataFrame, days: int = 1096) -> DataFrame:
 
 def _window_share(side: str, investor: str, first: int, last: int) -> str:
     """Share of one investor class in the trades of one window; NULL without trades."""
-    total = {i: f"coalesce(sum({side}_{i}) FILTER (WHERE age BETWEEN {first} AND {last}), 0D)" for i in INVESTORS}
+    traded = f"age BETWEEN {first} AND {last} AND close IS NOT NULL"
+    total = {i: f"coalesce(sum({side}_{i}) FILTER (WHERE {traded}), 0D)" for i in INVESTORS}
     return f"try_divide({total[investor]}, {' + '.join(total.values())})"
 
 
-def share_deltas(prices: DataFrame, dim: DataFrame, bounds: str = "train") -> DataFrame:
-    """Change of foreign and institutional trading shares between four windows.
+def price_features(prices: DataFrame, dim: DataFrame, bounds: str = "train") -> DataFrame:
+    """Share changes and the return snapshot from one grouped pass over the days in reach.
 
-    All windows, sides and investor classes come from one grouped pass.  Companies lacking
-    trades in any window are dropped.
+    Missing windows or a missing snapshot day leave NULLs.
     """
     windows = SHARE_WINDOWS[bounds]
-    reach = within_reach(prices.where(F.col("close").isNotNull()), "date", dim, days=windows[-1][1])
+    reach = within_reach(prices, "date", dim, days=windows[-1][1])
     aged = (
         reach.join(dim, "code")
         .withColumn("age", F.datediff("as_of", "date"))
@@ -63,9 +66,18 @@ def share_deltas(prices: DataFrame, dim: DataFrame, bounds: str = "train") -> Da
         for i, s in pairs
         for k, window in enumerate(windows, start=1)
     ]
-    wide = aged.groupBy("code", "horizon").agg(*shares)
+    returns = [F.expr(f"max({r}) FILTER (WHERE age = {SNAPSHOT_AGE[bounds]}) AS {r}") for r in RETURNS]
+    wide = aged.groupBy("code", "horizon").agg(*shares, *returns)
     deltas = [f"{i}_{s}_{k} - {i}_{s}_{k + 1} AS {i}_{s}_r{k}_r{k + 1}" for i, s in pairs for k in (1, 2, 3)]
-    return complete_rows(wide.selectExpr("code", "horizon", *deltas))
+    return wide.selectExpr("code", "horizon", *deltas, *RETURNS)
+
+
+def share_deltas(prices: DataFrame, dim: DataFrame, bounds: str = "train") -> DataFrame:
+    """Change of foreign and institutional trading shares between four windows.
+
+    Companies lacking trades in any window are dropped.
+    """
+    return complete_rows(price_features(prices, dim, bounds).select("code", "horizon", *SHARE_DELTAS))
 
 
 def return_snapshot(prices: DataFrame, dim: DataFrame, days_before: int = 1) -> DataFrame:

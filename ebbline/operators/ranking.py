@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SALTS = 64
-BUCKET_DIGITS = 3
+BUCKET_DIGITS = 4  # 65,536 hash prefixes per group
 
 
 def latest_n(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, rank: str = "rn") -> DataFrame:
@@ -40,8 +40,8 @@ def latest_n_skewed(
 def run_heads(df: DataFrame, key: str, chunk: Column, newest_first: Sequence[tuple[str, bool]], label: str) -> DataFrame:
     """Rows whose label differs from the next newer row of the same key.
 
-    ``chunk`` must follow the order (a calendar month of the first order column, say), so a
-    key of any size is read in calendar-sized pieces.  A piece's first row is compared with
+    ``chunk`` must follow the order (the day of the first order column, say), so a key of any
+    size is read in calendar-sized pieces.  A piece's first row is compared with
     the last label of the next newer piece; the table of pieces has one row per key and
     chunk.  ``newest_first`` lists (column, descending) pairs that order rows totally.
     """

@@ -40,12 +40,10 @@ def training_mart(tables, years: int = 2, horizon: str | None = None) -> DataFra
     """
     companies = tables.companies()
     dim = asof.single_horizon(companies, horizon) if horizon else asof.horizons(companies)
-    day = tables.prices()
     mart = _joined(
         [
             complete_rows(finance.latest_statements(tables.finance(), dim, years)),
-            prices.share_deltas(day, dim),
-            prices.return_snapshot(day, dim),
+            prices.price_features(tables.prices(), dim),
             news.news_ratio(tables.links(), tables.articles(), dim).select("code", "horizon", *news.RATIO_COLUMNS),
             audit.any_recent_doubt(tables.audits(), dim, AUDIT_ORDER),
             macro.macro_asof(tables.monthly_series(), dim),
@@ -59,13 +57,17 @@ def training_mart(tables, years: int = 2, horizon: str | None = None) -> DataFra
 def live_features(tables, as_of: Column, years: int = 2) -> DataFrame:
     """One feature row per active company as of one day; any missing feature stays NULL."""
     dim = asof.live_horizon(tables.companies(), as_of)
-    day = tables.prices()
+    traded = prices.price_features(tables.prices(), dim, bounds="live")
+    # A company lacking one window has no share feature at all.
+    whole = F.expr(" AND ".join(f"{c} IS NOT NULL" for c in prices.SHARE_DELTAS))
+    shares = traded.select(
+        "code", "horizon", *[F.when(whole, F.col(c)).alias(c) for c in prices.SHARE_DELTAS], *prices.RETURNS
+    )
     live = _joined(
         [
             dim.select("code", "horizon"),
             finance.latest_statements(tables.finance(), dim, years, published_only=False),
-            prices.share_deltas(day, dim, bounds="live"),
-            prices.return_snapshot(day, dim, days_before=0),
+            shares,
             news.news_ratio(tables.links(), tables.articles(), dim).select("code", "horizon", *news.RATIO_COLUMNS),
             audit.any_recent_doubt(tables.audits(), dim, AUDIT_ORDER, published_only=False),
             macro.macro_asof(tables.monthly_series(), dim, rule="live"),
