@@ -15,11 +15,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ebbline.operators.ranking import SALTS, latest_n_skewed, salted_join
+from ebbline.operators.ranking import latest_n_skewed, salted_join
 
 BLOCK_ROWS = 20_000
 QUERY_ROWS = 20_000
 CHUNK = 512
+VISIT_ROWS = 50_000
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
@@ -93,9 +94,10 @@ def nearest(queries: DataFrame, candidates: DataFrame, k: int, cells: int | None
     unique = asked.groupBy("features").agg(F.min("id").alias("id"))
 
     def visits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        step = max(1, min(CHUNK, VISIT_ROWS // len(pivots)))
         for pdf in batches:
-            for start in range(0, len(pdf), CHUNK):
-                part = pdf.iloc[start : start + CHUNK]
+            for start in range(0, len(pdf), step):
+                part = pdf.iloc[start : start + step]
                 d = np.sqrt(squared_distances(_matrix(part["features"]), pivots))
                 farthest = np.partition((d[:, :, None] + closest[None]).reshape(len(part), -1), need - 1, axis=1)[:, need - 1]
                 slack = 1e-9 * (1.0 + farthest)
@@ -155,7 +157,7 @@ def nearest(queries: DataFrame, candidates: DataFrame, k: int, cells: int | None
     merged = latest_n_skewed(found, ["qid"], [F.asc("distance2"), F.asc("neighbour")], need, salt_on=["neighbour"])
     lists = merged.groupBy("qid").agg(F.sort_array(F.collect_list(F.struct("distance2", "neighbour"))).alias("found"))
     per_vector = unique.withColumnRenamed("id", "qid").join(lists, "qid").select("features", "found")
-    back = salted_join(asked, per_vector, ["features"], ["id"], SALTS)
+    back = salted_join(asked, per_vector, ["features"], ["id"])
     own_out = F.slice(F.filter("found", lambda s: s["neighbour"] != F.col("id")), 1, k)
     return back.select("id", F.posexplode(own_out).alias("pos", "hit")).select(
         "id", (F.col("pos") + 1).alias("rank"), F.col("hit.neighbour").alias("neighbour"), F.col("hit.distance2").alias("distance2")

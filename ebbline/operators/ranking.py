@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SALTS = 64
+COPIES = 16  # times the small side of a salted join is repeated
 BUCKET_DIGITS = 4  # 65,536 hash prefixes per group
 
 
@@ -71,6 +72,7 @@ def hashed(df: DataFrame, id_col: str, *seeds: Column, out: str = "_h") -> DataF
 def hash_cut(df: DataFrame, by: Sequence[str], id_col: str, take: Column, cut: str = "cut") -> DataFrame:
     """Per group, the hash of the ``take``-th row in hash order (one row per group).
 
+    For few groups (classes, splits, folds) of any size.
     ``take`` may use the group's size ``_total``.  Rows are counted per hash prefix, so only
     the prefix that holds the boundary is ordered; no group is ever sorted as a whole.  Groups
     whose ``take`` is zero give no row.
@@ -87,7 +89,8 @@ def hash_cut(df: DataFrame, by: Sequence[str], id_col: str, take: Column, cut: s
         F.sum("_n").over(whole).alias("_total"),
     ).withColumn("_take", take.cast("bigint"))
     boundary = walked.where((F.col("_take") > F.col("_before")) & (F.col("_take") <= F.col("_upto")))
-    near = prefixed.join(boundary.drop("_upto"), [*by, "_prefix"])
+    # One row per group, and groups are classes, splits or folds: small enough for every task.
+    near = prefixed.join(F.broadcast(boundary.drop("_upto")), [*by, "_prefix"])
     order = Window.partitionBy(*by, "_prefix").orderBy("_h", id_col)
     return (
         near.withColumn("_rn", F.row_number().over(order) + F.col("_before"))
@@ -121,7 +124,7 @@ def hash_rank(df: DataFrame, by: Sequence[str], id_col: str, rank: str = "rank")
     )
 
 
-def salted_join(big: DataFrame, small: DataFrame, on: Sequence[str], salt_on: Sequence[str], salts: int = SALTS) -> DataFrame:
+def salted_join(big: DataFrame, small: DataFrame, on: Sequence[str], salt_on: Sequence[str], salts: int = COPIES) -> DataFrame:
     """Equi-join for hot keys on the big side: the small side is repeated once per salt."""
     left = big.withColumn("_salt", F.pmod(F.xxhash64(*salt_on), F.lit(salts)).cast("int"))
     right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

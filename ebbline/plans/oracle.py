@@ -135,7 +135,7 @@ def sql(uses: str, body: str, **more: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({q})" for n, q in tables) + "\n" + body
 
 
-def cols(names, fmt="round({0}, 6) AS {0}") -> str:
+def cols(names, fmt="round({0}, 6) + 0 AS {0}") -> str:
     return ", ".join(fmt.format(n) for n in names)
 
 
@@ -252,7 +252,7 @@ def feature_tables(dim: str, live: bool) -> dict[str, str]:
 
 
 def feature_list() -> str:
-    return ", ".join(n if n == "n_opinion_in_r3" else f"round({n}, 6) AS {n}" for n in feature_columns(2))
+    return ", ".join(n if n == "n_opinion_in_r3" else f"round({n}, 6) + 0 AS {n}" for n in feature_columns(2))
 
 
 ALL = "companies horizons live prices finance audits articles pairs monthly gdp"
@@ -556,6 +556,7 @@ ORACLE: dict[str, str] = {
            UNION ALL SELECT 'distinct', 'companies', 'code', count(DISTINCT code) FROM companies
            UNION ALL SELECT 'positives', 'companies', 'bankruptcy', count(*) FROM companies WHERE bankruptcy""",
     ),
+    "csv_round_trip": "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders",
     "month_group": sql(
         "articles",
         """SELECT date_trunc('month', published_date)::DATE AS month, count(*) AS n_all, count(*) FILTER (related) AS n_related,
@@ -664,7 +665,7 @@ def near_rows(candidates: str) -> str:
         FROM rare a JOIN {candidates} b ON a.id <> b.id) QUALIFY pos <= 5"""
 
 
-POINTS = "id, token, label, round(list_sum(features), 5) AS total, round(features[1], 5) AS first"
+POINTS = "id, token, label, round(list_sum(features), 5) + 0 AS total, round(features[1], 5) + 0 AS first"
 GIVEN = "SELECT id, NULL::BIGINT AS token, features, label FROM ml"
 
 ORACLE |= {

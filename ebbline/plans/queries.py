@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType
 
 from ebbline.functions import html as H
 from ebbline.functions import text as T
 from ebbline.operators import articles as A
 from ebbline.operators import asof, audit, finance, macro, news, prices, quality, ranking, reshape, terms
 from ebbline.plans import features, serving
+from ebbline.session import shared_dir
+from ebbline.sources import files
 from ebbline.sources.domain import Domain
 from ebbline.sources.files import spread
 
@@ -295,6 +299,15 @@ def dq_report(d: Domain) -> DataFrame:
     )
 
 
+@query
+def csv_round_trip(d: Domain) -> DataFrame:
+    """Orders written as CSV parts of bounded length and read back with typed keys."""
+    orders = d.raw("orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    target = f"{shared_dir(d.spark)}/csv-{uuid.uuid4().hex}"
+    files.split_csv(orders, target)
+    return files.scan_csv(d.spark, target, {"o_orderkey": LongType(), "o_orderstatus": StringType()})
+
+
 # -- relational basics -------------------------------------------------------------------
 
 

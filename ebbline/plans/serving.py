@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbline.functions.dates import is_weekday, month_label, month_start
@@ -24,6 +24,16 @@ STATEMENTS = 4
 THOUSANDS_PER_UNIT = 100_000
 
 
+def publish(rows: DataFrame, target: str) -> None:
+    """Write a page table so that one company's rows lie together and can be found by code."""
+    rows.repartition("code").sortWithinPartitions("code").write.mode("overwrite").parquet(target)
+
+
+def lookup(spark: SparkSession, target: str, code) -> DataFrame:
+    """One company's rows; file statistics on the code skip all other parts."""
+    return spark.read.parquet(target).where(F.col("code") == code)
+
+
 def active(companies: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
     """Listed companies, optionally only some names."""
     listed = companies.where(~F.col("delisted_check"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ebbline.operators import articles, quality, reshape
+from ebbline.plans import serving
 from ebbline.sources import files
 
 
@@ -76,6 +77,13 @@ def test_pending_drops_null_and_done(spark):
     assert [r.url for r in articles.pending(wanted, spark.createDataFrame([("b",)], "url string"), "url").collect()] == ["a"]
 
 
+def test_page_tables_are_found_by_code(spark, tmp_path):
+    serving.publish(spark.range(100).withColumn("code", F.col("id") % 10), str(tmp_path / "t"))
+    found = serving.lookup(spark, str(tmp_path / "t"), 3)
+    assert found.count() == 10
+    assert "PushedFilters: [IsNotNull(code), EqualTo(code,3)]" in found._jdf.queryExecution().toString()
+
+
 def test_report_counts(spark):
     df = spark.createDataFrame([(1, None), (1, "x"), (2, "y")], "k int, v string")
     rows = quality.report(
