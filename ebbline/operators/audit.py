@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ebbline.operators.ranking import latest_n_skewed, run_heads
+from ebbline.operators.ranking import latest_n, latest_n_skewed, run_heads
 
 REPORTS = 3
 FILINGS = 10
@@ -17,13 +17,25 @@ def any_recent_doubt(audits: DataFrame, dim: DataFrame, tie_break: list[str], pu
 
     Reports without a date are allowed and rank last.  All-NULL opinions give False.
     ``published_only=False`` is the live rule: no date filter.
+
+    A report is not repeated per horizon.  Reports that the same cut-offs of a company can see
+    form a stretch; the three newest of each stretch are found first, and only those are
+    matched with the horizons.
     """
-    joined = audits.join(dim, "code")
-    if published_only:
-        joined = joined.where(F.col("report_date").isNull() | (F.col("report_date") < F.col("as_of")))
     order = [F.desc_nulls_last("report_date"), *[F.asc(c) for c in tie_break]]
-    newest = latest_n_skewed(joined, ["code", "horizon"], order, REPORTS, salt_on=tie_break)
-    return newest.groupBy("code", "horizon").agg(
+    visible = F.lit(True)
+    stretch = F.lit(0)
+    if published_only:
+        visible = F.col("report_date").isNull() | (F.col("report_date") < F.col("as_of"))
+        seen_by = F.size(F.filter("cuts", lambda cut: F.col("report_date") < cut))
+        stretch = F.when(F.col("report_date").isNotNull(), seen_by).otherwise(-1)
+    cuts = dim.groupBy("code").agg(F.collect_list("as_of").alias("cuts"))
+    known = audits.join(cuts, "code").withColumn("stretch", stretch).drop("cuts")
+    if published_only:
+        known = known.where(F.col("stretch") != 0)
+    newest = latest_n_skewed(known, ["code", "stretch"], order, REPORTS).drop("rn")
+    seen = newest.join(dim, "code").where(visible)
+    return latest_n(seen, ["code", "horizon"], order, REPORTS).groupBy("code", "horizon").agg(
         F.coalesce(F.bool_or("n_opinion"), F.lit(False)).alias("n_opinion_in_r3")
     )
 
@@ -31,7 +43,7 @@ def any_recent_doubt(audits: DataFrame, dim: DataFrame, tie_break: list[str], pu
 def latest_reports(audits: DataFrame, tie_break: list[str], n: int = REPORTS) -> DataFrame:
     """Newest reports per company with their display form."""
     order = [F.desc_nulls_last("report_date"), *[F.asc(c) for c in tie_break]]
-    newest = latest_n_skewed(audits, ["code"], order, n, salt_on=tie_break)
+    newest = latest_n_skewed(audits, ["code"], order, n)
     year_month = F.concat(F.year("report_date").cast("string"), F.lit("-"), F.month("report_date").cast("string"))
     return newest.select(
         "code",
@@ -60,7 +72,7 @@ def select_filings(filings: DataFrame, companies: DataFrame, base_url: str) -> D
         gone, "code", F.col("filed_on"), [("filed_on", True), ("rcp_no", True)], "period"
     ).drop("period")
     order = [F.desc("filed_on"), F.desc("rcp_no")]
-    kept = latest_n_skewed(active.unionByName(heads), ["code"], order, FILINGS, salt_on=["rcp_no"])
+    kept = latest_n_skewed(active.unionByName(heads), ["code"], order, FILINGS)
     return kept.select(
         "code",
         F.concat(F.lit("A-"), F.col("rn").cast("string")).alias("report_name"),

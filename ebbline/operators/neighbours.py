@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ebbline.operators.ranking import latest_n_skewed, salted_join
+from ebbline.session import durable
 
 BLOCK_ROWS = 20_000
 QUERY_ROWS = 20_000
@@ -41,7 +42,7 @@ def distinct_copies(rows: DataFrame, k: int) -> DataFrame:
     Neighbours are ordered by distance and id.  Equal vectors tie on distance, so a row's
     nearest k (itself left out) never include a later copy: the answer stays exact.
     """
-    kept = latest_n_skewed(rows, ["features"], [F.asc("id")], k + 1, salt_on=["id"])
+    kept = latest_n_skewed(rows, ["features"], [F.asc("id")], k + 1)
     return kept.drop("rn")
 
 
@@ -54,10 +55,10 @@ def _pivots(rows: DataFrame, n: int) -> np.ndarray:
 def nearest(queries: DataFrame, candidates: DataFrame, k: int, cells: int | None = None) -> DataFrame:
     """(id, rank, neighbour, distance2) of the k nearest candidates other than the row itself.
 
-    Both inputs have (id, features).  ``candidates`` is read several times and should be a
-    written table or checkpoint.
+    Both inputs have (id, features).  The reduced candidates and the distinct queries are
+    written once, as several passes read them.
     """
-    pool = distinct_copies(candidates.select("id", "features"), k)
+    pool = durable(distinct_copies(candidates.select("id", "features"), k))
     size = pool.count()
     if size == 0:
         empty = "id bigint, rank int, neighbour bigint, distance2 double"
@@ -75,7 +76,7 @@ def nearest(queries: DataFrame, candidates: DataFrame, k: int, cells: int | None
 
     placed = pool.mapInPandas(place, "id bigint, features array<double>, cell int, reach double")
     # Per cell: rows, radius and the distances of its innermost rows (cells x need values).
-    inner = latest_n_skewed(placed.select("id", "cell", "reach"), ["cell"], [F.asc("reach"), F.asc("id")], need, salt_on=["id"])
+    inner = latest_n_skewed(placed.select("id", "cell", "reach"), ["cell"], [F.asc("reach"), F.asc("id")], need)
     stats = (
         placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("reach").alias("radius"))
         .join(inner.groupBy("cell").agg(F.sort_array(F.collect_list("reach")).alias("inner")), "cell")
@@ -91,7 +92,7 @@ def nearest(queries: DataFrame, candidates: DataFrame, k: int, cells: int | None
 
     # Rows with equal vectors share one search.
     asked = queries.select("id", "features")
-    unique = asked.groupBy("features").agg(F.min("id").alias("id"))
+    unique = durable(asked.groupBy("features").agg(F.min("id").alias("id")))
 
     def visits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         step = max(1, min(CHUNK, VISIT_ROWS // len(pivots)))
@@ -154,7 +155,7 @@ def nearest(queries: DataFrame, candidates: DataFrame, k: int, cells: int | None
 
     keys = ["cell", "block", "part"]
     found = asks.groupBy(*keys).cogroup(offers.groupBy(*keys)).applyInPandas(best, "qid bigint, neighbour bigint, distance2 double")
-    merged = latest_n_skewed(found, ["qid"], [F.asc("distance2"), F.asc("neighbour")], need, salt_on=["neighbour"])
+    merged = latest_n_skewed(found, ["qid"], [F.asc("distance2"), F.asc("neighbour")], need)
     lists = merged.groupBy("qid").agg(F.sort_array(F.collect_list(F.struct("distance2", "neighbour"))).alias("found"))
     per_vector = unique.withColumnRenamed("id", "qid").join(lists, "qid").select("features", "found")
     back = salted_join(asked, per_vector, ["features"], ["id"])

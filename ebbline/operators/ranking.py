@@ -19,22 +19,17 @@ def latest_n(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int
 
 
 def latest_n_skewed(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[Column],
-    n: int,
-    salt_on: Sequence[str],
-    rank: str = "rn",
-    salts: int = SALTS,
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, rank: str = "rn", salts: int = SALTS
 ) -> DataFrame:
-    """First ``n`` rows per key for keys of any size.
+    """First ``n`` rows per key for keys of any size; the result equals one ranking per key.
 
-    Rows of a key are spread over ``salts`` groups by a hash of ``salt_on``; each group keeps
-    its own first ``n`` and the survivors (at most ``n * salts`` per key) are ranked again.
-    The result equals one ranking per key.
+    Rows are ranked within (key, group of input tasks) first.  Spark limits each task to its
+    own first ``n`` per key before the shuffle, groups of tasks share the merging, and at most
+    ``n * salts`` rows per key meet in the last ranking.  Any assignment of rows to groups
+    gives the same answer, so the task number serves as the group.
     """
-    salt = F.pmod(F.xxhash64(*salt_on), F.lit(salts))
-    part = latest_n(df.withColumn("_salt", salt), [*keys, "_salt"], order, n, "_part_rank")
+    grouped = df.withColumn("_salt", F.spark_partition_id() % salts)
+    part = latest_n(grouped, [*keys, "_salt"], order, n, "_part_rank")
     return latest_n(part.drop("_salt", "_part_rank"), keys, order, n, rank)
 
 

@@ -330,7 +330,7 @@ def month_group(d: Domain) -> DataFrame:
 def latest_n_per_key(d: Domain) -> DataFrame:
     """Three newest reports per company with the salted ranking."""
     order = [F.desc_nulls_last("report_date"), F.asc("order_key"), F.asc("line_number")]
-    return ranking.latest_n_skewed(d.audits(), ["code"], order, 3, salt_on=features.AUDIT_ORDER)
+    return ranking.latest_n_skewed(d.audits(), ["code"], order, 3)
 
 
 @query

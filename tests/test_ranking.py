@@ -12,7 +12,7 @@ def test_salted_top_n_equals_plain(spark):
     rows = spark.range(3000).select(F.when(F.col("id") % 3 < 2, 0).otherwise(F.col("id") % 7).alias("k"), (F.hash("id") % 50).alias("v"), "id")
     order = [F.desc("v"), F.asc("id")]
     plain = ranking.latest_n(rows, ["k"], order, 7)
-    salted = ranking.latest_n_skewed(rows, ["k"], order, 7, salt_on=["id"])
+    salted = ranking.latest_n_skewed(rows, ["k"], order, 7)
     assert sorted(plain.collect()) == sorted(salted.collect())
 
 
