@@ -89,9 +89,9 @@ def halves(df: DataFrame, key: str) -> DataFrame:
     """Label rows 1 or 2: the first half plus one row, and the rest, in hash order of a unique key."""
     whole = hashed(df, key).withColumn("_all", F.lit(1))
     take = F.floor(F.col("_total") / 2) + 1
-    cut = F.broadcast(hash_cut(whole, ["_all"], key, F.least(take, F.col("_total"))))
+    cut = hash_cut(whole, ["_all"], key, F.least(take, F.col("_total"))).select("cut").scalar()
     part = F.when(before_cut(key), F.lit(1)).otherwise(F.lit(2))
-    return whole.join(cut, "_all", "left").withColumn("part", part).drop("_all", "_h", "cut")
+    return whole.withColumn("cut", cut).withColumn("part", part).drop("_all", "_h", "cut")
 
 
 def flag_articles(articles: DataFrame, body: str, terms: Sequence[str] = T.DISTRESS_TERMS) -> DataFrame:

@@ -36,7 +36,8 @@ def macro_asof(monthly: DataFrame, dim: DataFrame, rule: str = "train", series:
 
     ``monthly`` has one row per ``month``.  Companies meet the lagged table by equality on the
     newest public month.  That table is broadcast: it cannot exceed one row per calendar
-    month, while a shuffle on so few distinct months could not be balanced.
+    month, while a shuffle on so few distinct months could not be balanced.  With one common
+    cut-off day the month is a constant: Spark then filters the table to one row up front.
     """
     anchored = dim.withColumn("anchor", newest_public_month(F.col("as_of"), rule))
     lagged = F.broadcast(_lagged_by_month(monthly, series))

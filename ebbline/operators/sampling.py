@@ -42,10 +42,10 @@ def stratified_split(
 
 def stratified_folds(df: DataFrame, id_col: str, label: str, folds: int = 4, seed: int = SEED) -> DataFrame:
     """Add ``fold`` (0-based): equal consecutive stretches of each class in hash order."""
-    tagged = hashed(df, id_col, F.lit(seed))
-    fold = F.lit(0)
+    base = hashed(df, id_col, F.lit(seed))
+    tagged, fold = base, F.lit(0)
     for i in range(1, folds):
-        cuts = hash_cut(tagged.select(label, id_col, "_h"), [label], id_col, F.round(F.col("_total") * i / folds), f"cut{i}")
+        cuts = hash_cut(base.select(label, id_col, "_h"), [label], id_col, F.round(F.col("_total") * i / folds), f"cut{i}")
         tagged = tagged.join(F.broadcast(cuts), label, "left")
         fold = fold + (~before_cut(id_col, f"cut{i}")).cast("int")
     return tagged.withColumn("fold", fold).drop("_h", *[f"cut{i}" for i in range(1, folds)])
