@@ -11,11 +11,6 @@ FILING_LAG_DAYS = 90
 SERIES_LAG_DAYS = 7
 
 
-def months_back(day: Column, k: Column | int) -> Column:
-    """Same day ``k`` months earlier, clipped to the month's end."""
-    return F.add_months(day, -k)
-
-
 def filing_deadline(fiscal_year: Column, closing_month: Column) -> Column:
     """Day on which the statement of a fiscal year is certainly public."""
     return F.date_add(F.last_day(F.make_date(fiscal_year, closing_month, F.lit(1))), FILING_LAG_DAYS)

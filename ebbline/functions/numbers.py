@@ -14,11 +14,6 @@ def share(part: Column, *others: Column) -> Column:
     return F.try_divide(part, reduce(add, others, part))
 
 
-def guarded_ratio(part: Column, whole: Column) -> Column:
-    """``part / whole``, 0 where there is nothing to divide by."""
-    return F.coalesce(F.try_divide(part, whole), F.lit(0.0))
-
-
 def count_where(cond: Column) -> Column:
     """Rows for which ``cond`` is true; NULL counts as false."""
     return F.count_if(F.coalesce(cond, F.lit(False)))

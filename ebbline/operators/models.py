@@ -28,12 +28,13 @@ FINAL_SAMPLER = {"3m": "random", "6m": "none", "1y": "adasyn"}
 ROUNDS = 1000
 LEARNING_RATE = 0.1
 
-# Order in which parameters are tuned, with the first grid of each step.
+# Order in which parameters are tuned, with the first grid of each step (the
+# steps for L1 and L2 weights have no Spark counterpart).
 TUNING_STEPS = (
     {"maxDepth": [4, 5, 6, 7], "minInstancesPerNode": [1, 2, 3, 4, 5]},
-    {"minInfoGain": [0.0, 0.1, 0.2, 0.3, 0.4, 0.5]},
+    {"minInfoGain": [0.0, 0.1, 0.2, 0.3, 0.4]},
     {"subsamplingRate": [0.6, 0.7, 0.8, 0.9], "featureSubsetStrategy": ["0.6", "0.7", "0.8", "0.9"]},
-    {"maxIter": [100, 300, 1000], "stepSize": [0.01, 0.05, 0.1]},
+    {"maxIter": [1000, 3000, 5000, 7000], "stepSize": [0.001, 0.01, 0.1]},
 )
 
 CHECKPOINT_ROUNDS = 10

@@ -128,6 +128,14 @@ def test_fit_save_load_score(spark, frame, tmp_path):
     assert math.isclose(sum(r.importance for r in top), 1.0, abs_tol=1e-9) and top[0].importance >= top[-1].importance
 
 
+def test_comparison_and_choice(spark, frame):
+    board = models.compare(frame, ["gradient_boosting"], ["none", "random"], n_splits=2, params={"gradient_boosting": {"maxIter": 2}})
+    rows = board.collect()
+    assert len(rows) == 4 and all(0 <= r.accuracy <= 1 for r in rows)
+    best = models.best_combination(board).first()
+    assert best.part == "test" and best.f1_1 == max(r.f1_1 for r in rows if r.part == "test")
+
+
 def test_grid_order_and_stepwise_choice(spark, frame):
     board = models.grid_search(frame, models.boosted_trees, {"maxDepth": [1, 3]}, {"maxIter": 1}, folds=2, scoring="f1_micro")
     rows = board.collect()

@@ -11,6 +11,7 @@ from ebbline.streaming import intake
 
 
 def python_cleanse(text):
+    """The documented passes (fixed patterns), run by Python one after the other."""
     for pattern, to in (
         (r"googletag.*\}\);", " "),
         (r"\s+", " "),
