@@ -101,7 +101,9 @@ def _scores(d: Domain) -> DataFrame:
     fitted = {
         h: models.final_model(models.frame(mart.where(F.col("horizon") == h), names), h, **SMALL) for h in asof.HORIZONS
     }
-    live = quality.complete_rows(features.live_features(d, d.data_end)).withColumn("bankruptcy", F.lit(False))
+    # Written before the completeness filter: the optimizer would otherwise rewrite one test per
+    # column over all the share expressions.
+    live = quality.complete_rows(durable(features.live_features(d, d.data_end))).withColumn("bankruptcy", F.lit(False))
     return models.score(models.frame(live, names), fitted).withColumnRenamed("id", "code")
 
 
