@@ -55,7 +55,10 @@ def training_mart(tables, years: int = 2, horizon: str | None = None) -> DataFra
 
 
 def live_features(tables, as_of: Column, years: int = 2) -> DataFrame:
-    """One feature row per active company as of one day; any missing feature stays NULL."""
+    """One feature row per active company as of one day; any missing feature stays NULL.
+
+    Write the rows (``session.durable``) before filtering on completeness: see ``model_queries``.
+    """
     dim = asof.live_horizon(tables.companies(), as_of)
     traded = prices.price_features(tables.prices(), dim, bounds="live")
     # A company lacking one window has no share feature at all.
