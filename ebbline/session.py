@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,6 +17,7 @@ def local_session(app: str = "ebbline", cores: int | str = "*", **conf: str) ->
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
@@ -26,26 +27,16 @@ def local_session(app: str = "ebbline", cores: int | str = "*", **conf: str) ->
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach.
+    """Folder every executor can reach: ``spark.checkpoint.dir``.
 
-    The cluster names it in ``spark.checkpoint.dir``.  Only where that is unset and no
-    checkpoint folder was chosen yet (tests, laptops) is a scratch folder made.
+    Only where that is unset (laptops) a folder below the warehouse, which executors share too.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    chosen = spark.sparkContext.getCheckpointDir()
-    if chosen:
-        return chosen
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    scratch = tempfile.mkdtemp(prefix="ebbline-")
-    spark.sparkContext.setCheckpointDir(scratch)
-    return scratch
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return configured or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and continue from the written copy.
+    """Checkpoint ``df`` in the shared folder and continue from the written copy.
 
     Used where one frame feeds many later jobs (resampling, folds, boosting rounds): a lost
     executor then costs a re-read, never a recomputation of the feature joins.
@@ -54,3 +45,17 @@ def durable(df: DataFrame) -> DataFrame:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a columnar table in the shared folder and read it back.
+
+    Cheaper than a checkpoint where later steps read few of the columns, and its size is known
+    to the planner.  The folder goes when the application ends.
+    """
+    spark = df.sparkSession
+    folder = f"{shared_dir(spark).rstrip('/')}/{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return spark.read.schema(df.schema).parquet(folder)

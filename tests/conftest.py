@@ -9,7 +9,9 @@ from ebbline.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session("tests", 8, **{"spark.ui.showConsoleProgress": "false", "spark.sql.shuffle.partitions": "4"})
+def spark(tmp_path_factory):
+    shared = f"file://{tmp_path_factory.mktemp('shared')}"
+    conf = {"spark.ui.showConsoleProgress": "false", "spark.sql.shuffle.partitions": "4", "spark.checkpoint.dir": shared}
+    session = local_session("tests", 8, **conf)
     yield session
     session.stop()
