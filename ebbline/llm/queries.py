@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ebbline.llm import near, toxicity
+from ebbline.llm import lines, near, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -53,3 +54,9 @@ FROM sets JOIN least ON x = doc_id
 @query
 def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query
+def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    done = lines.dedup_lines(table(spark, folder, "documents").select("doc_id", "text"))
+    return done.select("doc_id", "text", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"))
