@@ -7,11 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbline.llm import lines, near, toxicity
+import public_tokenizers
+
+from ebbline.llm import lines, near, pieces, tiling, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
+PIECES = "piece_bpe_32k.model"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -60,3 +63,20 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     done = lines.dedup_lines(table(spark, folder, "documents").select("doc_id", "text"))
     return done.select("doc_id", "text", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"))
+
+
+@query
+def op4_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return tiling.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op8_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    path = public_tokenizers.path(PIECES)
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    ids = docs.withColumn("ids", pieces.sampled_ids(F.col("text"), F.col("doc_id"), path))
+    back = ids.withColumn("back", pieces.decoded(F.col("ids"), path))
+    return back.select(
+        "doc_id", F.coalesce(F.size("ids"), F.lit(0)).alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"),
+        F.col("back").eqNullSafe(F.col("text")).alias("lossless"),
+    )
