@@ -9,12 +9,12 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from ebbline.llm import lines, near, pieces, tiling, toxicity
+from ebbline.llm import bpe, lines, near, pieces, secrets, tiling, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
-PIECES = "piece_bpe_32k.model"
+PIECES, WORDS = "piece_bpe_32k.model", "word_bpe_49k.json"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -80,3 +80,13 @@ def op8_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", F.coalesce(F.size("ids"), F.lit(0)).alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"),
         F.col("back").eqNullSafe(F.col("text")).alias("lossless"),
     )
+
+
+@query
+def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.secrets(table(spark, folder, "documents"))
+
+
+@query
+def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.token_counts(table(spark, folder, "documents"), public_tokenizers.path(WORDS))
