@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from ebbline.llm import bpe, lines, near, pieces, secrets, tiling, toxicity
+from ebbline.llm import ann, bpe, lines, near, pieces, secrets, tiling, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -90,3 +90,21 @@ def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.token_counts(table(spark, folder, "documents"), public_tokenizers.path(WORDS))
+
+
+@query
+def op6_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return ann.search(table(spark, folder, "embeddings"), every=20, k=20)
+
+
+ORACLE_SQL["op6_nearest_neighbours"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score FROM v q JOIN v c ON q.vec_id <> c.vec_id
+  WHERE q.vec_id % 20 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scored QUALIFY rank <= 20
+"""
