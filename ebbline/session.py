@@ -59,3 +59,14 @@ def written(df: DataFrame) -> DataFrame:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
     return spark.read.schema(df.schema).parquet(folder)
+
+
+def bounded(table: DataFrame, most_mb: int = 16) -> DataFrame:
+    """A written ``table``, with a broadcast hint if its plan says that it is small.
+
+    For joins of a large table with keys found in it: few keys must not make Spark shuffle the
+    large side.  Beyond the bound the join is left to Spark.  Statistics of files are compressed
+    sizes, so the bound leaves room for several times as much.
+    """
+    size = table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return table.hint("broadcast") if int(size.toString()) <= most_mb << 20 else table
