@@ -69,4 +69,4 @@ def bounded(table: DataFrame, most_mb: int = 16) -> DataFrame:
     sizes, so the bound leaves room for several times as much.
     """
     size = table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return table.hint("broadcast") if int(size.toString()) <= most_mb << 20 else table
+    return table.hint("broadcast") if size <= most_mb << 20 else table
