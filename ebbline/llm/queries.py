@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from ebbline.llm import ann, bpe, lines, near, pieces, secrets, tiling, toxicity
+from ebbline.llm import ann, bpe, lines, near, pieces, scoring, secrets, tiling, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -108,3 +108,8 @@ scored AS (
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
 FROM scored QUALIFY rank <= 20
 """
+
+
+@query
+def op10_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return scoring.language_scores(table(spark, folder, "documents"), public_tokenizers.path(PIECES))
