@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from ebbline.llm import ann, bpe, lines, near, pieces, scoring, secrets, tiling, toxicity
+from ebbline.llm import ann, bpe, lines, near, pieces, render, scoring, secrets, tiling, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -113,3 +113,9 @@ FROM scored QUALIFY rank <= 20
 @query
 def op10_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return scoring.language_scores(table(spark, folder, "documents"), public_tokenizers.path(PIECES))
+
+
+@query
+def op9_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    pages = render.extract(table(spark, folder, "pages"))
+    return pages.select("page_id", "text", F.length("text").alias("n_chars"))
