@@ -12,8 +12,9 @@ their full sets.  Lists are merged the cheap way round:
   are skipped and only probed, by comparing signatures, for pairs the short ones brought up.
 
 Exact copies are one class from the start.  Inside a list every class is first compared with the
-list's most connected class only; all other pairs of a list are compared only as far as they are
-still in different components, so a group of thousands of near copies costs its size.
+list's most connected class only, so a group of thousands of near copies costs its size.  What is
+still apart then is compared pair by pair, but a pair leaves the list only if two bitmaps of the
+sets allow the similarity (each bit that one set has alone is a shingle the other lacks).
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ from ebbline.session import written
 SEED = 20_240_607
 #: A pair at similarity 0.8 agrees in 32 of 40 coordinates on average and misses 21 with p < 2e-5.
 COORDS, MATCHES = 40, 21
+#: Longs of 64 bits in a set's bitmap.
+MAP = 16
 BLOCK = 8_192
 _rng = np.random.default_rng(SEED)
 _MULTIPLIERS = _rng.integers(0, 2**63, COORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -107,8 +110,27 @@ def _describe(batches: Iterator[pd.DataFrame], width: int) -> Iterator[pd.DataFr
 def _sets(batches: Iterator[pd.DataFrame], width: int) -> Iterator[pd.DataFrame]:
     words = _Words()
     for batch in batches:
-        found = [shingle_set(t, width, words).astype(np.int64) for t in batch["text"]]
-        yield pd.DataFrame({"class": batch["class"], "shingles": found})
+        found = [shingle_set(t, width, words) for t in batch["text"]]
+        yield pd.DataFrame(
+            {
+                "class": batch["class"], "n": [len(s) for s in found], "bits": [bitmap(s) for s in found],
+                "shingles": [s.astype(np.int64) for s in found],
+            }
+        )
+
+
+def bitmap(shingles: np.ndarray) -> np.ndarray:
+    """``MAP`` longs with the bit of each shingle's low digits set."""
+    bits = np.zeros(64 * MAP, np.uint8)
+    bits[(shingles % np.uint64(64 * MAP)).astype(np.int64)] = 1
+    return np.packbits(bits).view(np.int64)
+
+
+def _may_link(percent: int) -> str:
+    """SQL: bitmaps ``bits, _bits`` of sets of ``n, _n`` shingles allow the similarity."""
+    alone = " + ".join(f"bit_count(bits[{i}] & ~_bits[{i}])" for i in range(MAP))
+    other = " + ".join(f"bit_count(_bits[{i}] & ~bits[{i}])" for i in range(MAP))
+    return f"{100 + percent} * least(n - ({alone}), _n - ({other})) >= {percent} * (n + _n)"
 
 
 def _bytes(docs: DataFrame) -> DataFrame:
@@ -154,7 +176,7 @@ def near_classes(docs: DataFrame, width: int = 4, percent: int = 80) -> tuple[Da
     texts = _bytes(docs).join(one, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key")))
     sets = written(
         texts.select("class", "text").dropDuplicates(["class"])
-        .mapInPandas(lambda b: _sets(b, width), "class string, shingles array<bigint>")
+        .mapInPandas(lambda b: _sets(b, width), "class string, n bigint, bits array<bigint>, shingles array<bigint>")
     )
 
     def confirmed(pairs: DataFrame) -> DataFrame:
@@ -183,17 +205,21 @@ def near_classes(docs: DataFrame, width: int = 4, percent: int = 80) -> tuple[Da
     found = written(confirmed(first))
     parts = connected_components(found)
     placed = written(
-        members.where("n > 2").join(parts, F.col("class") == F.col("node"), "left")
+        members.where("n > 2").select("class", "value", "head").join(parts, F.col("class") == F.col("node"), "left")
         .select("class", "value", "head", F.coalesce("component", "class").alias("component"))
     )
     open_lists = placed.groupBy("value").agg(F.countDistinct("component").alias("parts")).where("parts > 1").select("value")
-    rest = placed.where(F.col("class") != F.col("head")).join(open_lists, "value", "left_semi")
-    other = rest.select("value", F.col("class").alias("dst"), F.col("component").alias("_c"))
-    second = (
-        rest.select("value", F.col("class").alias("src"), "component").join(other, "value")
-        .where((a < b) & (F.col("component") != F.col("_c")))
-        .select("src", "dst").distinct()
+    rest = (
+        placed.where(F.col("class") != F.col("head")).join(open_lists, "value", "left_semi")
+        .join(sets.select("class", "n", "bits"), "class").join(prefix.select("class", "prefix"), "class")
+        .select("value", F.col("class").alias("src"), "component", "n", "bits", "prefix")
     )
+    other = rest.toDF("value", "dst", "_component", "_n", "_bits", "_prefix")
+    # A pair meets in many lists and leaves only the first of them.
+    second = rest.join(other, "value").where(
+        (a < b) & (F.col("component") != F.col("_component")) & F.expr(_may_link(percent))
+        & (F.array_min(F.array_intersect("prefix", "_prefix")) == F.col("value"))
+    ).select("src", "dst")
     links = found.union(written(confirmed(second)))
     return rows, links
 
