@@ -68,6 +68,11 @@ def with_tag(tagged: DataFrame, code: Column) -> DataFrame:
     return tagged.where(F.array_contains("tags", code))
 
 
+def tagged_with(articles: DataFrame, links: DataFrame, code: Column) -> DataFrame:
+    """Articles linked to one company; its links are filtered before any tag list is built."""
+    return articles.join(links.where(F.col("code") == code).select("url"), "url", "left_semi")
+
+
 def pending(wanted: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """Distinct non-null keys that are wanted but not done."""
     return wanted.select(key).where(F.col(key).isNotNull()).distinct().join(done.select(key), key, "left_anti")

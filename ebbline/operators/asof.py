@@ -27,8 +27,9 @@ def live_horizon(companies: DataFrame, as_of: Column) -> DataFrame:
 def within_reach(facts: DataFrame, day: str, dim: DataFrame, months: int = 0, days: int = 0) -> DataFrame:
     """Keep facts no older than the oldest look-back and no newer than the newest cut-off.
 
-    The two bounds are scalar subqueries, so they reach the file scan as date filters.
+    The two bounds are looked up first (one row of the company table): as plain dates they pass
+    through the casts of the domain tables and reach the file scan as filters on the stored column.
     """
-    oldest = dim.select(F.date_sub(F.add_months(F.min("as_of"), -months), days)).scalar()
-    newest = dim.select(F.max("as_of")).scalar()
-    return facts.where(F.col(day).between(oldest, newest))
+    first = F.date_sub(F.add_months(F.min("as_of"), -months), days)
+    oldest, newest = dim.agg(first, F.max("as_of")).first()
+    return facts.where(F.col(day).between(F.lit(oldest).cast("date"), F.lit(newest).cast("date")))

@@ -18,21 +18,23 @@ from ebbline.operators.sampling import SAMPLERS, SEED, stratified_folds, stratif
 from ebbline.session import durable
 
 # Tuned boosting parameters per horizon, with the resampling used before the
-# final fit.  Names follow Spark; L1 and L2 weights have no Spark counterpart.
+# final fit.  Names follow Spark but for ``gamma``, the least loss reduction of a split, summed over
+# the node's rows; L1 and L2 weights have no Spark counterpart.  Rounds: the tuned number never
+# reached the library, whose default held.
 FINAL_PARAMS = {
-    "3m": {"maxDepth": 6, "minInstancesPerNode": 12, "minInfoGain": 0.008, "subsamplingRate": 0.9, "featureSubsetStrategy": "0.95"},
-    "6m": {"maxDepth": 4, "minInstancesPerNode": 8, "minInfoGain": 0.0, "subsamplingRate": 0.65, "featureSubsetStrategy": "0.55"},
-    "1y": {"maxDepth": 6, "minInstancesPerNode": 3, "minInfoGain": 0.15, "subsamplingRate": 0.7, "featureSubsetStrategy": "0.9"},
+    "3m": {"maxDepth": 6, "minInstancesPerNode": 12, "gamma": 0.008, "subsamplingRate": 0.9, "featureSubsetStrategy": "0.95"},
+    "6m": {"maxDepth": 4, "minInstancesPerNode": 8, "gamma": 0.0, "subsamplingRate": 0.65, "featureSubsetStrategy": "0.55"},
+    "1y": {"maxDepth": 6, "minInstancesPerNode": 3, "gamma": 0.15, "subsamplingRate": 0.7, "featureSubsetStrategy": "0.9"},
 }
 FINAL_SAMPLER = {"3m": "random", "6m": "none", "1y": "adasyn"}
-ROUNDS = 1000
+ROUNDS = 100
 LEARNING_RATE = 0.1
 
 # Order in which parameters are tuned, with the first grid of each step (the
 # steps for L1 and L2 weights have no Spark counterpart).
 TUNING_STEPS = (
     {"maxDepth": [4, 5, 6, 7], "minInstancesPerNode": [1, 2, 3, 4, 5]},
-    {"minInfoGain": [0.0, 0.1, 0.2, 0.3, 0.4]},
+    {"gamma": [0.0, 0.1, 0.2, 0.3, 0.4]},
     {"subsamplingRate": [0.6, 0.7, 0.8, 0.9], "featureSubsetStrategy": ["0.6", "0.7", "0.8", "0.9"]},
     {"maxIter": [1000, 3000, 5000, 7000], "stepSize": [0.001, 0.01, 0.1]},
 )
@@ -46,8 +48,12 @@ def random_forest(**params) -> RandomForestClassifier:
     )
 
 
-def boosted_trees(**params) -> GBTClassifier:
-    """Gradient boosting with default depth."""
+def boosted_trees(gamma: float = 0.0, rows: int = 1, **params) -> GBTClassifier:
+    """Gradient boosting with default depth.
+
+    ``gamma`` is a sum over rows and Spark's least gain a mean, so it is divided by ``rows``.
+    """
+    params = {"minInfoGain": gamma / max(rows, 1), **params}
     defaults = {"maxIter": 100, "stepSize": LEARNING_RATE, "maxDepth": 3, "checkpointInterval": CHECKPOINT_ROUNDS}
     return GBTClassifier(featuresCol="_vector", labelCol="label", seed=SEED).setParams(**{**defaults, **params})
 
@@ -163,6 +169,8 @@ def grid_search(
     """
     spark = df.sparkSession
     folded = durable(stratified_folds(df, "id", "label", folds))
+    if "gamma" in grid or "gamma" in (fixed or {}):
+        fixed = {"rows": folded.count(), **(fixed or {})}
     score = {"f1": "f1_1", "f1_micro": "accuracy"}[scoring]
     points = [dict(zip(grid, values)) for values in product(*grid.values())]
 
@@ -194,7 +202,14 @@ def tune_stepwise(df: DataFrame, build: Callable, steps: Sequence[Mapping[str, S
 def final_model(df: DataFrame, horizon: str, **params) -> Model:
     """Fit on all rows, resampled as the horizon asks, with its tuned parameters."""
     settings = {"maxIter": ROUNDS, "stepSize": LEARNING_RATE, **FINAL_PARAMS[horizon], **params}
-    return fit(durable(SAMPLERS[FINAL_SAMPLER[horizon]](df)), boosted_trees(**settings))
+    rows = durable(SAMPLERS[FINAL_SAMPLER[horizon]](df))
+    return fit(rows, boosted_trees(rows=rows.count(), **settings))
+
+
+def final_models(frames: Mapping[str, DataFrame]) -> dict[str, Model]:
+    """One final model per horizon, fitted side by side."""
+    with ThreadPool(len(frames)) as pool:
+        return dict(zip(frames, pool.map(lambda h: final_model(frames[h], h), frames)))
 
 
 def save(model: Model, path: str) -> None:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ebbline.functions.numbers import hash_int
 from ebbline.operators.neighbours import nearest
 from ebbline.operators.ranking import before_cut, hash_cut, hash_rank, hashed, salted_join
+from ebbline.session import durable
 
 # Fixed values of the validation scheme.
 SPLITS = 30
@@ -127,7 +128,8 @@ def adasyn_allocation(df: DataFrame, k: int = NEIGHBOURS) -> DataFrame:
     minority = df.where("label = 1").select("id", "features")
     around = nearest(minority, df.select("id", "features"), k)
     labels = df.select(F.col("id").alias("neighbour"), (F.col("label") == 0).cast("int").alias("_other"))
-    shares = around.join(labels, "neighbour").groupBy("id").agg((F.sum("_other") / F.lit(float(k))).alias("r"))
+    # Written once: the rows and their total both come from it.
+    shares = durable(around.join(labels, "neighbour").groupBy("id").agg(F.sum("_other").cast("double").alias("r")))
     missing = df.agg(F.greatest(F.count_if(F.col("label") == 0) - F.count_if(F.col("label") == 1), F.lit(0))).scalar()
     total = shares.agg(F.sum("r")).scalar()
     weighted = shares.select("id", "r", total.alias("_total"), missing.alias("_missing"))

@@ -12,7 +12,6 @@ from ebbline.session import durable
 from ebbline.sources.domain import Domain
 
 N_CHARS_RULE = 1000
-SMALL = {"maxIter": 3, "maxDepth": 3}
 
 
 def judged(d: Domain) -> DataFrame:
@@ -23,8 +22,9 @@ def judged(d: Domain) -> DataFrame:
 
 
 def _points(df: DataFrame, digits: int = 5) -> DataFrame:
-    """Sampled rows in comparable form: the vector as its sum and first value."""
-    total = F.aggregate("features", F.lit(0.0), lambda a, x: a + x)
+    """Sampled rows in comparable form: the vector as a sum weighted by place, and its first value."""
+    weighted = F.transform("features", lambda x, i: x * (i + 1))
+    total = F.aggregate(weighted, F.lit(0.0), lambda a, x: a + x)
     return df.select(
         "id", "token", "label", F.round(total, digits).alias("total"), F.round(F.get("features", F.lit(0)), digits).alias("first")
     )
@@ -74,23 +74,11 @@ def split_scoreboard(d: Domain) -> DataFrame:
     return metrics.scoreboard(metrics.class_report(parts, "label", "prediction", ["split", "part"]), ["part"])
 
 
-@query
-def model_comparison(d: Domain) -> DataFrame:
-    small = {"random_forest": {"numTrees": 5, "maxDepth": 3}, "gradient_boosting": SMALL, "deep_gradient_boosting": SMALL}
-    return models.compare(d.ml_frame(), n_splits=1, params=small)
-
-
-@query
-def grid_search(d: Domain) -> DataFrame:
-    grid = {"maxDepth": [2, 3], "minInstancesPerNode": [1, 5]}
-    return models.grid_search(d.ml_frame(), models.boosted_trees, grid, {"maxIter": 2}, folds=2, sampler="random")
-
-
 @query
 def feature_importance(d: Domain) -> DataFrame:
     mart = durable(features.training_mart(d, horizon="6m"))
     names = features.feature_columns()
-    model = models.fit(models.frame(mart, names), models.boosted_trees(**SMALL))
+    model = models.final_model(models.frame(mart, names), "6m")
     return models.importance(model, names, d.spark)
 
 
@@ -98,9 +86,7 @@ def _scores(d: Domain) -> DataFrame:
     """Live rows scored by one model per horizon; incomplete rows get no score."""
     names = features.feature_columns()
     mart = durable(features.training_mart(d))
-    fitted = {
-        h: models.final_model(models.frame(mart.where(F.col("horizon") == h), names), h, **SMALL) for h in asof.HORIZONS
-    }
+    fitted = models.final_models({h: models.frame(mart.where(F.col("horizon") == h), names) for h in asof.HORIZONS})
     # Written before the completeness filter: the optimizer would otherwise rewrite one test per
     # column over all the share expressions.
     live = quality.complete_rows(durable(features.live_features(d, d.data_end))).withColumn("bankruptcy", F.lit(False))
@@ -120,7 +106,7 @@ def prediction_panel(d: Domain) -> DataFrame:
 @query
 def word_vectors(d: Domain) -> DataFrame:
     """Skip-gram vectors of the documents' terms: length of each vector."""
-    tokens = durable(terms.tokenize(d.texts("documents", "doc_id"), "text", "tokens").select("tokens"))
+    tokens = durable(terms.tokenize(d.raw("documents"), "text", "tokens").select("tokens"))
     vectors = terms.vectors_of(terms.train_vectors(tokens, "tokens"))
     return vectors.select("term", F.size("vector").alias("dimensions"))
 
@@ -128,7 +114,7 @@ def word_vectors(d: Domain) -> DataFrame:
 @query
 def similar_words(d: Domain) -> DataFrame:
     """Nearest 30 words of the most frequent one, among the 30,000 most frequent."""
-    tokens = durable(terms.tokenize(d.texts("documents", "doc_id"), "text", "tokens").select("tokens"))
+    tokens = durable(terms.tokenize(d.raw("documents"), "text", "tokens").select("tokens"))
     counts = terms.term_counts(tokens, "tokens")
     vectors = terms.vectors_of(terms.train_vectors(tokens, "tokens"))
     known = terms.most_frequent(vectors, counts)

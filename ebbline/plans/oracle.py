@@ -587,6 +587,8 @@ ORACLE: dict[str, str] = {
         {doubt(T.GOING_CONCERN_SUBJECT, T.GOING_CONCERN_DOUBTS)} AS n_opinion_fixed_terms FROM documents""",
     "tokenize": f"""SELECT doc_id, len(tokens)::INTEGER AS n_tokens, array_to_string(tokens, ' ') AS tokens
         FROM (SELECT doc_id, regexp_extract_all(lower(text), '([{WORD}]+)', 1) AS tokens FROM documents)""",
+    "word_vectors": f"""SELECT term, 100::INTEGER AS dimensions FROM (
+            SELECT unnest(regexp_extract_all(lower(text), '([{WORD}]+)', 1)) AS term FROM documents) GROUP BY term HAVING count(*) >= 5""",
     "similar_terms": f"""SELECT vec_id, round({DOT.format(a="e.embedding", b="q.embedding")}
             / (sqrt({DOT.format(a="e.embedding", b="e.embedding")}) * sqrt({DOT.format(a="q.embedding", b="q.embedding")})), 5) AS similarity
         FROM embeddings e, (SELECT embedding FROM embeddings WHERE vec_id = 0) q
@@ -665,7 +667,7 @@ def near_rows(candidates: str) -> str:
         FROM rare a JOIN {candidates} b ON a.id <> b.id) QUALIFY pos <= 5"""
 
 
-POINTS = "id, token, label, round(list_sum(features), 5) + 0 AS total, round(features[1], 5) + 0 AS first"
+POINTS = "id, token, label, round(list_sum(list_transform(features, lambda x, i: x * i)), 5) + 0 AS total, round(features[1], 5) + 0 AS first"
 GIVEN = "SELECT id, NULL::BIGINT AS token, features, label FROM ml"
 
 ORACLE |= {
@@ -690,7 +692,7 @@ ORACLE |= {
     "adasyn_allocation": sql(
         "",
         """SELECT id, coalesce(round_even(r / nullif(sum(r) OVER (), 0) * (n0 - n1), 0), 0)::BIGINT AS n_new FROM (
-            SELECT near.id, sum((m.label = 0)::INTEGER) / 5::DOUBLE AS r
+            SELECT near.id, sum((m.label = 0)::INTEGER)::DOUBLE AS r
             FROM near JOIN ml m ON m.id = near.neighbour GROUP BY near.id), n""",
         ml=ML,
         n=DRAW_TABLES["n"],

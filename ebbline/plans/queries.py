@@ -17,7 +17,6 @@ from ebbline.plans import features, serving
 from ebbline.session import shared_dir
 from ebbline.sources import files
 from ebbline.sources.domain import Domain
-from ebbline.sources.files import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -197,8 +196,7 @@ def audit_latest3(d: Domain) -> DataFrame:
 def stock_unpivot_pivot(d: Domain) -> DataFrame:
     """Long facts to the vendor's form (dates as columns) and back to one row per day."""
     long = d.prices_long()
-    labels = [f"2024-01-{i:02d}" for i in range(1, 32)]
-    vendor = long.groupBy("code", "item").pivot("date", labels).agg(F.max("value"))
+    vendor = long.groupBy("code", "item").pivot("date").agg(F.max("value"))
     daily = reshape.vendor_to_daily(vendor, ["code", "item"], "item", ITEMS)
     present = [F.col(c).isNotNull() for c in ITEMS.values()]
     return daily.where(F.array_contains(F.array(*present), True))
@@ -241,9 +239,8 @@ def article_tags_json(d: Domain) -> DataFrame:
 @query
 def array_membership(d: Domain) -> DataFrame:
     """Articles tagged with the first company of the list."""
-    tagged = A.article_tags(d.articles().select("url", "published_date"), d.links())
     first = d.companies().select(F.min("code")).scalar()
-    return A.with_tag(tagged, first).select("url", "published_date")
+    return A.tagged_with(d.articles(), d.links(), first).select("url", "published_date")
 
 
 @query
@@ -376,17 +373,17 @@ def class_share(d: Domain) -> DataFrame:
 
 @query
 def text_cleanse(d: Domain) -> DataFrame:
-    return d.texts("documents", "doc_id").select("doc_id", T.cleanse(F.col("text")).alias("text"))
+    return d.raw("documents").select("doc_id", T.cleanse(F.col("text")).alias("text"))
 
 
 @query
 def press_cleanse(d: Domain) -> DataFrame:
-    return d.texts("pages", "page_id").select("page_id", T.cleanse_press(F.col("html"), [*T.PRESS_MARKS, "###", "***"]).alias("body"))
+    return d.raw("pages").select("page_id", T.cleanse_press(F.col("html"), [*T.PRESS_MARKS, "###", "***"]).alias("body"))
 
 
 @query
 def keyword_flag(d: Domain) -> DataFrame:
-    docs = d.texts("documents", "doc_id").select("doc_id", "text")
+    docs = d.raw("documents").select("doc_id", "text")
     flagged = A.flag_articles(docs, "text", DOC_TERMS)
     fixed = T.contains_any(F.col("text"), T.DISTRESS_TERMS)
     return flagged.select("doc_id", "related", fixed.alias("related_fixed_terms"))
@@ -395,12 +392,12 @@ def keyword_flag(d: Domain) -> DataFrame:
 @query
 def going_concern_flag(d: Domain) -> DataFrame:
     doubt = T.going_concern(F.col("text"), DOC_SUBJECT, DOC_DOUBTS)
-    return d.texts("documents", "doc_id").select("doc_id", doubt.alias("n_opinion"), T.going_concern(F.col("text")).alias("n_opinion_fixed_terms"))
+    return d.raw("documents").select("doc_id", doubt.alias("n_opinion"), T.going_concern(F.col("text")).alias("n_opinion_fixed_terms"))
 
 
 @query
 def tokenize(d: Domain) -> DataFrame:
-    tokens = terms.tokenize(d.texts("documents", "doc_id"), "text", "tokens")
+    tokens = terms.tokenize(d.raw("documents"), "text", "tokens")
     return tokens.select("doc_id", F.size("tokens").alias("n_tokens"), F.array_join("tokens", " ").alias("tokens"))
 
 
@@ -416,7 +413,7 @@ def html_extract(d: Domain) -> DataFrame:
     page = H.visible(F.col("html"))
     paragraphs = H.element_texts(F.col("page"), "p")
     return (
-        d.texts("pages", "page_id")
+        d.raw("pages")
         .select("page_id", page.alias("page"))
         .select(
             "page_id",
@@ -437,5 +434,5 @@ def link_rebuild(d: Domain) -> DataFrame:
         number, F.lit("', '"), F.substring(number, 9, 12), F.lit("', '"), F.substring(number, 21, 1),
         F.lit("', '"), F.col("rcp_dt"), F.lit("', '"), F.col("code").cast("string"), F.lit("', 'dart3.xsd'); } });"),
     )
-    pages = spread(d.filings(), "rcp_no").select("rcp_no", call.alias("html"))
+    pages = d.filings().select("rcp_no", call.alias("html"))
     return pages.select("rcp_no", H.viewer_link(F.col("html"), VIEWER, VIEWER_ARGS, "viewDoc", "감사보고서").alias("url"))

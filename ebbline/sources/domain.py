@@ -9,8 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ebbline.sources.files import spread
-
 DATA_END = "2001-06-30"
 
 
@@ -28,10 +26,6 @@ class Domain:
             self._read[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         return self._read[name]
 
-    def texts(self, name: str, key: str) -> DataFrame:
-        """A given table whose rows need costly text work."""
-        return spread(self.raw(name), key)
-
     @property
     def data_end(self) -> Column:
         return F.lit(DATA_END).cast("date")

@@ -63,16 +63,6 @@ def read_database(spark: SparkSession, url: str, table: str, properties: Mapping
     return spark.read.jdbc(url, table, properties=dict(properties), **partitioning)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Share costly per-row work among all cores.
-
-    A small file is one row group and would be one task.  Inputs that already have more scan
-    tasks than cores, as any large table has, are left alone and not shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() > cores else df.repartition(cores, key)
-
-
 def nan_as_null(df: DataFrame) -> DataFrame:
     """NaN marks of dataframe exports become NULL."""
     floats = [c for c, t in df.dtypes if t in ("double", "float")]

@@ -142,3 +142,10 @@ def test_grid_order_and_stepwise_choice(spark, frame):
     assert rows == sorted(rows, key=lambda r: (-r.mean_test_score, r.mean_train_score))
     chosen = models.tune_stepwise(frame, models.boosted_trees, [{"maxDepth": [1]}, {"minInstancesPerNode": [1, 40]}], fixed={"maxIter": 1}, folds=2)
     assert chosen["maxDepth"] == 1 and chosen["minInstancesPerNode"] in (1, 40) and chosen["maxIter"] == 1
+
+
+def test_tuned_trees_split(spark):
+    """Gamma is a sum over rows, Spark's least gain a mean: carried over as it is, no tree would split."""
+    rows = [(i, [float(i % 17), float(i % 5), float(i * 7 % 11)], int(i % 17 > 13)) for i in range(400)]
+    df = spark.createDataFrame(rows, "id bigint, features array<double>, label int")
+    assert all(t.numNodes > 1 for t in models.final_model(df, "1y", maxIter=3).trees[:2])

@@ -37,3 +37,8 @@ def test_scans_read_only_needed_columns(plan):
     text = plan("text_cleanse")
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in text
     assert "ReadSchema: struct<l_orderkey:bigint,l_suppkey:bigint>" in plan("news_ratio_12m")
+
+
+@pytest.mark.parametrize("name", ["news_ratio_12m", "trade_share_delta", "stock_lookback"])
+def test_date_bounds_reach_the_stored_column(plan, name):
+    assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\([lo]_(ship|order)date", plan(name))

@@ -116,3 +116,8 @@ def test_intake_resumes_and_skips_known(spark, tmp_path):
     assert run() == ["a", "b"]
     links("b", "c").coalesce(1).write.mode("append").option("header", True).csv(source)
     assert run() == ["a", "b", "c"]
+
+
+def test_long_hosts_do_not_exhaust_the_stack(spark):
+    df = spark.createDataFrame([("see http://" + "a" * 100_000 + "/x end",), ("see http://" + "%41b" * 30_000 + " end",)], "t string")
+    assert [r.c.split() for r in df.select(T.cleanse(F.col("t")).alias("c")).collect()] == [["see", "x", "end"], ["see", "end"]]
