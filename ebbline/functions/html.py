@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,8 +12,13 @@ from ebbline.functions.binding import let
 
 _HIDDEN = r"(?is)<(script|style)\b[^>]*>.*?</\1\s*>|<!--.*?-->"
 
-# Named character references that occur in page text.
-ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
+# Tags that end an open paragraph.
+PARAGRAPH_ENDS = (
+    "address article aside blockquote body center details div dl dd dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
+    "header hr html li main menu nav ol p pre section table td th tr ul"
+).split()
+_REFERENCE = "^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+_VALUE = r"""("[^"]*"|'[^']*'|[^\s"'>]+)"""
 
 
 def visible(html: Column) -> Column:
@@ -20,12 +28,31 @@ def visible(html: Column) -> Column:
 
 def inner_text(fragment: Column) -> Column:
     """Text of a fragment: tags dropped, references decoded, white space collapsed."""
-    text = F.regexp_replace(fragment, r"(?s)<[^>]*>", "")
-    for name, char in ENTITIES:
-        text = F.replace(text, F.lit(name), F.lit(char))
+    text = decoded(F.regexp_replace(fragment, r"(?s)<[^>]*>", ""))
     return F.trim(F.regexp_replace(text, r"[\s ]+", " "))
 
 
+def decoded(text: Column) -> Column:
+    """Named (HTML 4) and numeric character references as characters; unknown ones stay."""
+    names = F.create_map(*[F.lit(x) for n, c in sorted(name2codepoint.items()) for x in (n, c)])
+
+    def part(piece: Column) -> Column:
+        name = F.regexp_extract(piece, _REFERENCE, 1)
+        number = (
+            F.when(F.startswith(F.lower(name), F.lit("#x")), F.conv(F.substring(name, 3, 6), 16, 10).cast("int"))
+            .when(F.startswith(name, F.lit("#")), F.substring(name, 2, 7).cast("int"))
+            .otherwise(F.try_element_at(names, name))
+        )
+        known = number.between(1, 0xD7FF) | number.between(0xE000, 0x10FFFF)
+        char = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+        return F.when(known, F.concat(char, F.substr(piece, F.length(name) + 2))).otherwise(F.concat(F.lit("&"), piece))
+
+    def joined(pieces: Column) -> Column:
+        return F.concat(F.get(pieces, F.lit(0)), F.array_join(F.transform(F.slice(pieces, 2, F.size(pieces)), part), ""))
+
+    return let(text, lambda t: F.when(F.contains(t, F.lit("&")), joined(F.split(t, "&"))).otherwise(t))
+
+
 def _none_if_missing(html: Column, pattern: str, group: int) -> Column:
     return F.when(html.rlike(pattern), F.regexp_extract(html, pattern, group))
 
@@ -36,14 +63,34 @@ def first_element(html: Column, tag: str) -> Column:
 
 
 def attribute_values(html: Column, tag: str, attribute: str) -> Column:
-    """All quoted values of one attribute, in page order."""
-    return F.regexp_extract_all(html, F.lit(rf'(?is)<{tag}\b[^>]*?\b{attribute}\s*=\s*"([^"]*)"'), 1)
+    """All values of one attribute, quoted either way or not at all, in page order."""
+    found = F.regexp_extract_all(html, F.lit(rf"(?is)<{tag}\s(?:[^>]*?\s)?{attribute}\s*=\s*{_VALUE}"), 1)
+    return F.transform(found, lambda v: decoded(F.regexp_replace(v, r"""(?s)^(["'])(.*)\1$""", "$2")))
 
 
 def element_texts(html: Column, tag: str) -> Column:
-    """Texts of every ``<tag>`` element, in page order."""
-    pattern = F.lit(rf"(?is)<{tag}(?:\s[^>]*)?>(.*?)</{tag}\s*>")
-    return F.transform(F.regexp_extract_all(html, pattern, 1), inner_text)
+    """Texts of every ``<tag>`` that holds no other of its kind, in page order.
+
+    A paragraph also ends at the next block tag or with the page.
+    """
+    end = rf"(?=</?(?:{'|'.join(PARAGRAPH_ENDS)})[\s/>]|\z)" if tag == "p" else rf"</{tag}\s*>"
+    return F.transform(F.regexp_extract_all(html, F.lit(rf"(?is)<{tag}(?:\s[^>]*)?>(.*?){end}"), 1), inner_text)
+
+
+def selected_text(html: Column, tag: str, attribute: str, value: str) -> Column:
+    """Text of the first ``<tag>`` whose attribute (id, class, ...) holds the word ``value``; NULL without one."""
+    word = rf"""["']?(?:[^"'>]*\s)?{re.escape(value)}(?=[\s"'>/])"""
+    pattern = rf"(?is)<{tag}\s(?:[^>]*?\s)?{attribute}\s*=\s*{word}[^>]*>(.*?)</{tag}\s*>"
+    return inner_text(_none_if_missing(html, pattern, 1))
+
+
+def list_entries(html: Column) -> Column:
+    """(title, link) of every list item that starts with a link, in page order."""
+    item = rf"(?is)<li(?:\s[^>]*)?>[^<]*(<a\s[^>]*>.*?</a\s*>)"
+    return F.transform(
+        F.regexp_extract_all(html, F.lit(item), 1),
+        lambda x: F.struct(first_element(x, "a").alias("title"), F.get(attribute_values(x, "a", "href"), F.lit(0)).alias("link")),
+    )
 
 
 def script_call_arguments(html: Column, function: str, marker: str | None = None) -> Column:

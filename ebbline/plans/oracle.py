@@ -8,6 +8,7 @@ from ebbline.operators.macro import MONTHLY_SERIES
 from ebbline.operators.news import MONTHS, RATIO_COLUMNS
 from ebbline.operators.prices import RETURNS
 from ebbline.plans.features import feature_columns
+from ebbline.plans.page_oracle import ARTICLE_LIST_EXTRACT, HTML_EXTRACT
 from ebbline.plans.queries import DOC_DOUBTS, DOC_SUBJECT, DOC_TERMS, VIEWER, VIEWER_ARGS
 
 END = "DATE '2001-06-30'"
@@ -345,18 +346,6 @@ def doubt(subject: str, doubts) -> str:
     )
 
 
-def inner(x: str) -> str:
-    out = f"regexp_replace({x}, '(?s)<[^>]*>', '', 'g')"
-    for name, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
-        out = f"replace({out}, '{name}', '{char}')"
-    return f"trim(regexp_replace({out}, '[\\s ]+', ' ', 'g'), ' ')"
-
-
-def element(tag: str) -> str:
-    pattern = rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>"
-    return f"CASE WHEN regexp_matches(page, '{pattern}') THEN " + inner(f"regexp_extract(page, '{pattern}', 1)") + " END"
-
-
 DOT = "list_sum(list_transform(list_zip({a}, {b}), lambda p: p[1]::DOUBLE * p[2]::DOUBLE))"
 
 ORACLE: dict[str, str] = {
@@ -593,11 +582,8 @@ ORACLE: dict[str, str] = {
             / (sqrt({DOT.format(a="e.embedding", b="e.embedding")}) * sqrt({DOT.format(a="q.embedding", b="q.embedding")})), 5) AS similarity
         FROM embeddings e, (SELECT embedding FROM embeddings WHERE vec_id = 0) q
         WHERE vec_id <> 0 ORDER BY similarity DESC, vec_id LIMIT 30""",
-    "html_extract": rf"""SELECT page_id, {element("title")} AS title, {element("h1")} AS headline,
-        array_to_string(regexp_extract_all(page, '(?is)<a\b[^>]*?\bhref\s*=\s*"([^"]*)"', 1), ' ') AS links,
-        array_to_string(list_transform(regexp_extract_all(page, '(?is)<p(?:\s[^>]*)?>(.*?)</p\s*>', 1), lambda x: {inner("x")}), '') AS body
-        FROM (SELECT page_id, regexp_replace(html,
-              '(?is)<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>|<!--.*?-->', '', 'g') AS page FROM pages)""",
+    "html_extract": HTML_EXTRACT,
+    "article_list_extract": ARTICLE_LIST_EXTRACT,
     "link_rebuild": f"""SELECT rcp_no, '{VIEWER}?' || """
     + " || '&' || ".join(
         f"'{n}=' || {v}"

@@ -420,11 +420,18 @@ def html_extract(d: Domain) -> DataFrame:
             H.first_element(F.col("page"), "title").alias("title"),
             H.first_element(F.col("page"), "h1").alias("headline"),
             F.array_join(H.attribute_values(F.col("page"), "a", "href"), " ").alias("links"),
-            F.array_join(paragraphs, "").alias("body"),
+            F.array_join(paragraphs, "\n").alias("body"),
         )
     )
 
 
+@query
+def article_list_extract(d: Domain) -> DataFrame:
+    """Entries of the lists of a page: title and link, by position."""
+    entries = d.raw("pages").select("page_id", F.posexplode(H.list_entries(H.visible(F.col("html")))).alias("position", "entry"))
+    return entries.select("page_id", "position", "entry.title", "entry.link")
+
+
 @query
 def link_rebuild(d: Domain) -> DataFrame:
     """Viewer links from the scripts of filing pages; one page per filing."""

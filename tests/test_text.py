@@ -121,3 +121,16 @@ def test_intake_resumes_and_skips_known(spark, tmp_path):
 def test_long_hosts_do_not_exhaust_the_stack(spark):
     df = spark.createDataFrame([("see http://" + "a" * 100_000 + "/x end",), ("see http://" + "%41b" * 30_000 + " end",)], "t string")
     assert [r.c.split() for r in df.select(T.cleanse(F.col("t")).alias("c")).collect()] == [["see", "x", "end"], ["see", "end"]]
+
+
+def test_broken_and_quoted_markup(spark):
+    page = (
+        "<div id='main body'>in <p class=x>first<p>second</p>tail<div><p>third &copy; &#12354; &#x1F600; &nope; &amp;lt;<ul><li>"
+        "<a class='k' href='/a?b=1&amp;c'>one</a><li><a href=/b>two</a></ul><p>last"
+    )
+    row = one(spark, page, H.element_texts(F.col("t"), "p").alias("p"), H.attribute_values(F.col("t"), "a", "href").alias("a"),
+              H.selected_text(F.col("t"), "a", "class", "k").alias("k"), H.list_entries(F.col("t")).alias("l"))
+    assert row.p == ["first", "second", "third © あ 😀 &nope; &lt;", "last"]
+    assert row.a == ["/a?b=1&c", "/b"] and row.k == "one"
+    assert [tuple(e) for e in row.l] == [("one", "/a?b=1&c"), ("two", "/b")]
+    assert len(one(spark, "<p>x" * 5_000, H.element_texts(F.col("t"), "p").alias("p")).p) == 5_000
