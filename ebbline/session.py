@@ -58,7 +58,16 @@ def written(df: DataFrame) -> DataFrame:
     df.write.parquet(folder)
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
-    return spark.read.schema(df.schema).parquet(folder)
+    table = spark.read.schema(df.schema).parquet(folder)
+    table._written = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete written tables that nothing reads any more."""
+    for table in tables:
+        path = table._written
+        path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def bounded(table: DataFrame, most_mb: int = 16) -> DataFrame:
