@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ebbline.session import written
+from ebbline.session import discard, written
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
@@ -25,7 +25,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
         state = now.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.xxhash64("a", "b") % 1_000_003)).first()
         if state[0] == 0 or state == before:
             break
-        before = state
+        before, last = state, now
         both = now.union(now.select(b.alias("a"), a.alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         large = both.where(b > a).join(least, "a").select(b.alias("a"), F.col("m").alias("b")).where(a != b).distinct()
@@ -33,6 +33,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
         joined = large.join(least, "a")
         small = joined.select(b.alias("a"), F.col("m").alias("b")).union(joined.select("a", F.col("m").alias("b")))
         now = written(small.where(a != b).distinct())
+        discard(last)
     return (
         now.select(a.alias("node"), b.alias("component"))
         .union(now.select(b.alias("node"), b.alias("component")))

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 SPACE = "▁"
 ALPHA = 1.0
 #: Units that are drawn at once.
-UNITS = 100_000
+UNITS = 40_000
 _UNIT = re.compile(r" *[^ \n]+| +|\n")
 _SLOTS = 21
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -115,7 +115,7 @@ class Lattices:
         starts = np.cumsum(self.sizes) - self.sizes
         self.base = starts + np.arange(len(units))  # row of a unit's start
         places = len(chars) + len(units)
-        weight = np.zeros((places, v.longest), np.float64)
+        weight = np.zeros((places, v.longest), np.float32)
         self.piece = np.zeros((places, v.longest), np.int32)
         row = np.arange(len(chars)) + np.repeat(np.arange(len(units)), self.sizes)  # row before a character
         left = np.repeat(starts + self.sizes, self.sizes) - np.arange(len(chars))

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ebbline.session import written
+from ebbline.session import discard, written
 
 #: Words and beginnings that may have weights: those whose share of toxic texts is the least
 #: likely to be chance.
@@ -31,8 +31,8 @@ LEAST_TEXTS = 12
 FIT_TEXTS = 5_000
 REJECT = 0.7
 STEPS, RATE, SHRINK, L1, EPS = 500, 0.1, 1e-5, 2e-4, 1e-6
-FLUSH = 400_000
-CACHE = 100_000
+FLUSH = 200_000
+CACHE = 60_000
 _WORD = re.compile(r"[^\W\d_]+")
 _SENTENCE = re.compile(r"[^.!?\n]+")
 
@@ -150,7 +150,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     known = labels.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")).where("toxic is not null")
     ids = docs.where(F.col("text").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", F.xxhash64("text").alias("key"))
     chosen = ids.join(known, "doc_id").groupBy("key").agg(F.max("toxic").alias("toxic"), F.min("doc_id").alias("doc_id"))
-    chosen = written(chosen.select("doc_id", "toxic", F.xxhash64("doc_id").alias("h")))
+    chosen = chosen_ids = written(chosen.select("doc_id", "toxic", F.xxhash64("doc_id").alias("h")))
     sizes = {r["toxic"]: r["n"] for r in chosen.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if not (sizes.get(0) and sizes.get(1)):
         return Model(4.0 if sizes.get(1) else -8.0, {})
@@ -172,6 +172,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     )
     if sample["toxic"].nunique() < 2:
         return Model(-8.0, {})
+    discard(chosen_ids, texts)
     toxic, n = sample["toxic"].to_numpy(), sample["n"].to_numpy()
     start = np.cumsum(n) - n
     sentence = np.concatenate([np.asarray(a, np.int64) + s for a, s in zip(sample["at"], start)])
