@@ -546,6 +546,11 @@ ORACLE: dict[str, str] = {
            UNION ALL SELECT 'positives', 'companies', 'bankruptcy', count(*) FROM companies WHERE bankruptcy""",
     ),
     "csv_round_trip": "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders",
+    "bulk_load_and_append": "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders",
+    "csv_export": "SELECT c_custkey, c_name, c_acctbal FROM customer",
+    "relabel_units": """SELECT o_custkey AS code, count(*) AS orders, round(count(*) FILTER (o_orderstatus = 'O') * 100::DOUBLE / count(*), 6) AS openp
+        FROM orders GROUP BY 1""",
+    "missing_marks": "SELECT doc_id, coalesce(toxic <> 0, false) AS toxic FROM documents LEFT JOIN labels USING (doc_id)",
     "month_group": sql(
         "articles",
         """SELECT date_trunc('month', published_date)::DATE AS month, count(*) AS n_all, count(*) FILTER (related) AS n_related,

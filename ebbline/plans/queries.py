@@ -305,6 +305,45 @@ def csv_round_trip(d: Domain) -> DataFrame:
     return files.scan_csv(d.spark, target, {"o_orderkey": LongType(), "o_orderstatus": StringType()})
 
 
+def _target(d: Domain, kind: str) -> str:
+    return f"{shared_dir(d.spark)}/{kind}-{uuid.uuid4().hex}"
+
+
+@query
+def bulk_load_and_append(d: Domain) -> DataFrame:
+    """Orders loaded as a table partitioned by status, in two goes: open ones first, the rest appended."""
+    orders = d.raw("orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    target = _target(d, "table")
+    files.load_table(orders.where("o_orderstatus = 'O'"), target)
+    files.append_table(orders.where("o_orderstatus <> 'O'"), target)
+    return d.spark.read.schema(orders.schema).parquet(target)
+
+
+@query
+def csv_export(d: Domain) -> DataFrame:
+    """Customers exported as CSV and then more of them appended, read back with typed keys."""
+    customers = d.raw("customer").select("c_custkey", "c_name", "c_acctbal")
+    target = _target(d, "csv")
+    files.export_csv(customers.where("c_custkey % 2 = 0"), target)
+    files.export_csv(customers.where("c_custkey % 2 = 1"), target, mode="append")
+    return files.scan_csv(d.spark, target, {"c_custkey": LongType(), "c_name": StringType()})
+
+
+@query
+def relabel_units(d: Domain) -> DataFrame:
+    """Order sums per customer under given names, percent signs written as p."""
+    sums = d.raw("orders").groupBy("o_custkey").agg(F.count("*").alias("a"), F.sum(F.when(F.col("o_orderstatus") == "O", 1).otherwise(0)).alias("b"))
+    shares = sums.select("o_custkey", "a", F.round(F.col("b") * 100.0 / F.col("a"), 6))
+    return reshape.ascii_units(reshape.relabel(shares, ["code", "orders", "open%"]))
+
+
+@query
+def missing_marks(d: Domain) -> DataFrame:
+    """Toxicity marks of all documents as booleans: 0 and missing are False."""
+    docs = d.raw("documents").select("doc_id").join(d.raw("labels").select("doc_id", "toxic"), "doc_id", "left")
+    return files.fill_missing_bool(docs, ["toxic"])
+
+
 # -- relational basics -------------------------------------------------------------------
 
 
