@@ -130,7 +130,7 @@ def compare(
     """
     spark = df.sparkSession
     base = durable(df)
-    split = durable(base.join(stratified_split(base, "id", "label", n_splits), ["id", "label"]))
+    split = durable(stratified_split(base, "id", "label", n_splits, keep=["features"]))
 
     def run(job):
         i, s = job

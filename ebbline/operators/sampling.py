@@ -5,6 +5,8 @@ Every random choice is a hash of row ids and the seed, so a recomputed task repe
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,21 +25,22 @@ HASH_RANGE = float(2**32)
 
 
 def stratified_split(
-    df: DataFrame, id_col: str, label: str, n_splits: int = SPLITS, test_share: float = TEST_SHARE, seed: int = SEED
+    df: DataFrame, id_col: str, label: str, n_splits: int = SPLITS, test_share: float = TEST_SHARE, seed: int = SEED,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """(split, id, label, is_test) for repeated splits with exact class shares.
+    """(split, id, label, is_test) and the columns to ``keep`` for repeated splits with exact class shares.
 
     In each split and class the first ``round(share * n)`` rows in hash order are the test
     set.  Only the boundary hash of each class is looked up; rows are then labelled in place,
     without moving them.  The boundary table has one row per split and class.
     """
     spread = df.select(
-        F.explode(F.sequence(F.lit(1), F.lit(n_splits))).alias("split"), F.col(id_col), F.col(label)
+        F.explode(F.sequence(F.lit(1), F.lit(n_splits))).alias("split"), F.col(id_col), F.col(label), *keep
     )
     tagged = hashed(spread, id_col, F.lit(seed), F.col("split"))
     cuts = hash_cut(tagged, ["split", label], id_col, F.round(F.col("_total") * test_share))
     return tagged.join(F.broadcast(cuts), ["split", label], "left").select(
-        "split", id_col, label, before_cut(id_col).alias("is_test")
+        "split", id_col, label, *keep, before_cut(id_col).alias("is_test")
     )
 
 

@@ -69,7 +69,7 @@ def classification_report(d: Domain) -> DataFrame:
 def split_scoreboard(d: Domain) -> DataFrame:
     """Rule verdicts scored over 30 splits, mean per part."""
     rows = judged(d)
-    split = sampling.stratified_split(rows, "doc_id", "label").join(rows.select("doc_id", "prediction"), "doc_id")
+    split = sampling.stratified_split(rows, "doc_id", "label", keep=["prediction"])
     parts = split.withColumn("part", F.when(F.col("is_test"), "test").otherwise("train"))
     return metrics.scoreboard(metrics.class_report(parts, "label", "prediction", ["split", "part"]), ["part"])
 
