@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ebbline.llm.graph import connected_components
-from ebbline.session import written
+from ebbline.session import bounded, written
 
 SEED = 20_240_607
 #: A pair at similarity 0.8 agrees in 32 of 40 coordinates on average and misses 21 with p < 2e-5.
@@ -259,7 +259,7 @@ def drop_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) ->
     found = near_duplicates(docs.select("doc_id", "text"), width, percent)
     gone = found.where(~F.col("kept") & F.col("doc_id").isNotNull()).select("doc_id").distinct()
     repeated = written(docs.groupBy("doc_id").agg(F.count("*").alias("_n")).where("_n > 1 and doc_id is not null").select("doc_id"))
-    left = docs.join(written(gone), "doc_id", "left_anti")
+    left = docs.join(bounded(written(gone)), "doc_id", "left_anti")
     if repeated.isEmpty():
         return left.select(docs.columns)
     once = left.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
