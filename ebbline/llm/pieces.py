@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 
 SPACE = "▁"
 ALPHA = 1.0
-#: Units that are drawn at once.
-UNITS = 40_000
+#: Units that are drawn at once, and rows whose ids a task holds before it passes them on.
+UNITS, ROWS = 40_000, 200
 _UNIT = re.compile(r" *[^ \n]+| +|\n")
 _SLOTS = 21
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -239,7 +239,9 @@ def sampled_ids(text: Column, key: Column, path: str, alpha: float = ALPHA) -> C
     def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for texts, keys in batches:
             seeds = keys.to_numpy().astype(np.int64).view(np.uint64)
-            yield pd.Series(encode_batch(list(texts), seeds, vocabulary(path, alpha)), dtype=object)
+            for a in range(0, len(texts), ROWS):
+                part = encode_batch(list(texts.iloc[a : a + ROWS]), seeds[a : a + ROWS], vocabulary(path, alpha))
+                yield pd.Series(part, dtype=object)
 
     return F.pandas_udf(run, "array<int>")(text, F.coalesce(key.cast("bigint"), F.lit(0)))
 
@@ -250,6 +252,7 @@ def decoded(ids: Column, path: str) -> Column:
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         v = vocabulary(path)
         for rows in batches:
-            yield pd.Series([None if r is None else v.decode(r.tolist()) for r in rows], dtype=object)
+            for a in range(0, len(rows), ROWS):
+                yield pd.Series([None if r is None else v.decode(r.tolist()) for r in rows.iloc[a : a + ROWS]], dtype=object)
 
     return F.pandas_udf(run, "string")(ids)
