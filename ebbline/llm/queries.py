@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from ebbline.llm import ann, bpe, lines, near, pieces, render, scoring, secrets, tiling, toxicity
+from ebbline.llm import ann, bpe, lines, merkle, near, pieces, render, scoring, secrets, tiling, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -119,3 +119,59 @@ def op10_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
 def op9_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     pages = render.extract(table(spark, folder, "pages"))
     return pages.select("page_id", "text", F.length("text").alias("n_chars"))
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle.checked(table(spark, folder, "documents"), merkle.tampered_ids())
+
+
+#: crc32 by its bitwise rule; ``below`` and ``above`` are the trees, ``climb`` folds every proof.
+ORACLE_SQL["op13_merkle_manifest"] = """
+WITH RECURSIVE fields AS (
+  SELECT doc_id, lang, text, concat(
+    CASE WHEN doc_id IS NULL THEN '-' ELSE concat(strlen(CAST(doc_id AS VARCHAR)), ':', doc_id) END,
+    CASE WHEN source IS NULL THEN '-' ELSE concat(strlen(source), ':', source) END,
+    CASE WHEN lang IS NULL THEN '-' ELSE concat(strlen(lang), ':', lang) END,
+    CASE WHEN n_chars IS NULL THEN '-' ELSE concat(strlen(CAST(n_chars AS VARCHAR)), ':', n_chars) END) AS head,
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low
+  FROM documents),
+sums AS (
+  SELECT DISTINCT doc_id, xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(
+    string_split(CAST(doc_id AS VARCHAR), ''), lambda d: CAST(ascii(d) AS BIGINT))), lambda c, d:
+      list_reduce(list_prepend(xor(c, d), [0, 0, 0, 0, 0, 0, 0, 0]), lambda x, y: xor(x >> 1, 3988292384 * (x & 1))))) AS crc
+  FROM documents WHERE doc_id IS NOT NULL),
+leaves AS (
+  SELECT f.doc_id, lang, sha256(concat(head, CASE WHEN text IS NULL THEN '-' ELSE concat(strlen(text), ':', text) END)) AS leaf,
+    CASE WHEN crc % 3 = 0 THEN sha256(concat(head, CASE WHEN text IS NULL THEN '-' ELSE concat(strlen(low), ':', low) END)) END AS claimed
+  FROM fields f LEFT JOIN sums s ON f.doc_id = s.doc_id),
+groups AS (SELECT lang, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS g FROM (SELECT DISTINCT lang FROM documents)),
+placed AS (
+  SELECT doc_id, leaf, coalesce(claimed, leaf) AS claimed, g, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i
+  FROM leaves JOIN groups ON leaves.lang IS NOT DISTINCT FROM groups.lang),
+below AS (
+  SELECT 0 AS level, g, i, leaf AS digest, count(*) OVER (PARTITION BY g) AS m FROM placed
+  UNION ALL
+  SELECT level + 1, g, i // 8, sha256(string_agg(digest, '' ORDER BY i)), (m + 7) // 8 FROM below WHERE m > 1 GROUP BY level, g, i // 8, m),
+subroots AS (SELECT g, digest AS subroot FROM below WHERE m = 1),
+above AS (
+  SELECT 0 AS level, g AS i, subroot AS digest, count(*) OVER () AS m FROM subroots
+  UNION ALL
+  SELECT level + 1, i // 8, sha256(string_agg(digest, '' ORDER BY i)), (m + 7) // 8 FROM above WHERE m > 1 GROUP BY level, i // 8, m),
+nodes AS (
+  SELECT level, g, i, digest, m FROM below UNION ALL SELECT 100 + level, -1, i, digest, m FROM above),
+runs AS (SELECT level, g, i // 8 AS run, list(digest ORDER BY i) AS digests FROM nodes WHERE m > 1 GROUP BY level, g, i // 8),
+climb AS (
+  SELECT g AS g0, i AS i0, 0 AS level, g, i, (SELECT max(m) FROM below b WHERE b.level = 0 AND b.g = placed.g) AS m, claimed AS now, '' AS proof FROM placed
+  UNION ALL
+  SELECT g0, i0, CASE WHEN c.m > 1 THEN c.level + 1 ELSE 100 END, CASE WHEN c.m > 1 THEN c.g ELSE -1 END,
+    CASE WHEN c.m > 1 THEN c.i // 8 ELSE c.g END,
+    CASE WHEN c.m > 1 THEN (c.m + 7) // 8 ELSE (SELECT count(*) FROM subroots) END,
+    CASE WHEN c.m > 1 THEN sha256(concat(array_to_string(digests[:c.i % 8], ''), now, array_to_string(digests[c.i % 8 + 2:], ''))) ELSE now END,
+    CASE WHEN c.m > 1 THEN concat(proof, array_to_string(digests[:c.i % 8], ''), array_to_string(digests[c.i % 8 + 2:], '')) ELSE proof END
+  FROM climb c LEFT JOIN runs r ON c.m > 1 AND r.level = c.level AND r.g = c.g AND r.run = c.i // 8
+  WHERE c.m > 1 OR c.g >= 0)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, now AS folded_root, now = root AS verified
+FROM placed JOIN subroots USING (g) JOIN climb c ON c.g0 = placed.g AND c.i0 = placed.i AND c.g = -1 AND c.m = 1
+CROSS JOIN (SELECT digest AS root FROM above WHERE m = 1)
+"""
