@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from ebbline.llm import ann, bpe, lines, merkle, near, pieces, render, scoring, secrets, tiling, toxicity
+from ebbline.llm import ann, bpe, lines, merkle, near, pieces, render, scoring, secrets, superkmers, tiling, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -175,3 +175,28 @@ SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, now AS folded
 FROM placed JOIN subroots USING (g) JOIN climb c ON c.g0 = placed.g AND c.i0 = placed.i AND c.g = -1 AND c.m = 1
 CROSS JOIN (SELECT digest AS root FROM above WHERE m = 1)
 """
+
+
+@query
+def op12_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    done = superkmers.remove_repeats(table(spark, folder, "documents"), digest=True)
+    return done.select("doc_id", "n_words", "n_removed", F.col("kept").alias("kept_sha256"))
+
+
+ORACLE_SQL["op12_substring_dedup"] = r"""
+WITH words AS (
+  SELECT row_number() OVER () AS row_id, doc_id,
+    list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+windows AS (
+  SELECT row_id, i, array_to_string(w[i:i + 34], ' ') AS content
+  FROM (SELECT row_id, w, unnest(range(1, len(w) - 33)) AS i FROM words WHERE len(w) >= 35)),
+repeated AS (SELECT content FROM windows GROUP BY content HAVING count(*) > 1),
+gone AS (
+  SELECT row_id, list(DISTINCT i + k) AS places
+  FROM windows JOIN repeated USING (content), (SELECT unnest(range(35)) AS k) GROUP BY row_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(places), 0) AS BIGINT) AS n_removed,
+  sha256(CASE WHEN places IS NULL THEN array_to_string(w, ' ')
+    ELSE coalesce(array_to_string(list_filter(list_transform(w, lambda x, j: CASE WHEN list_contains(places, j) THEN NULL ELSE x END),
+      lambda x: x IS NOT NULL), ' '), '') END) AS kept_sha256
+FROM words LEFT JOIN gone USING (row_id)
+"""
