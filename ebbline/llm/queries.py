@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from ebbline.llm import ann, bpe, lines, merkle, near, pieces, render, scoring, secrets, superkmers, tiling, toxicity
+from ebbline.llm import ann, bpe, collocations, lines, merkle, near, pieces, render, scoring, secrets, superkmers, tiling, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -200,3 +200,39 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(places), 0)
       lambda x: x IS NOT NULL), ' '), '') END) AS kept_sha256
 FROM words LEFT JOIN gone USING (row_id)
 """
+
+
+@query
+def op11_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
+
+
+ORACLE_SQL["op11_phrase_collocations"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+words AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(w)) AS HUGEINT) AS n FROM words GROUP BY lang),
+starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM words),
+sizes AS (SELECT unnest(range(1, 6)) AS k),
+counts AS (
+  SELECT lang, k, w[i:i + k - 1] AS p, CAST(count(*) AS HUGEINT) AS f FROM starts, sizes WHERE i + k - 1 <= len(w)
+  GROUP BY ALL HAVING count(*) >= 100),
+candidates AS (SELECT lang, k, p, f FROM counts WHERE k >= 2),
+inside AS (
+  SELECT DISTINCT lang, p[x:x + y - 1] AS p, f
+  FROM candidates, (SELECT unnest(range(1, 5)) AS x), (SELECT unnest(range(2, 5)) AS y) WHERE y < k AND x + y - 1 <= k),
+kept AS (
+  SELECT * FROM candidates c WHERE NOT EXISTS (SELECT 1 FROM inside i WHERE i.lang = c.lang AND i.p = c.p AND 100 * i.f >= 100 * c.f)),
+cuts AS (
+  SELECT c.lang, c.p, c.f AS a, l.f AS l, r.f AS r, n, cut, (1000 * c.f * n) // (l.f * r.f) AS score
+  FROM kept c, (SELECT unnest(range(1, 5)) AS cut), totals t, counts l, counts r
+  WHERE cut < c.k AND t.lang = c.lang AND l.lang = c.lang AND l.p = c.p[:cut] AND r.lang = c.lang AND r.p = c.p[cut + 1:]),
+weakest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, cut) = 1),
+ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(p, ' ')) AS rank,
+    array_to_string(p, ' ') AS phrase, a, l, r, n, score FROM weakest)
+SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n,
+  CAST(score AS BIGINT) AS score
+FROM ranked WHERE rank <= 2000
+"""
