@@ -8,11 +8,13 @@ sorting: word numbers are paired up to ranks of 2, 4, ... words until the ranks
 windows.  Nothing but word sequences decides; hashes only choose buckets.
 
 * Rows with the same text are one row with a weight from the start.
-* The windows of one super-k-mer all differ (each holds its minimiser at another place), so a
-  bucket with a single one needs no counting.
-* A bucket that is heavy in a sample of the texts (a core that very many contexts share) isn't
-  gathered by one task: its windows are counted one by one under a cryptographic digest.  Both
-  ways give the same result, the sample only decides which one is taken.
+* The windows of one super-k-mer all differ (each holds its minimiser at another place), so only
+  buckets with several need counting.  A first pass counts the super-k-mers of every bucket; a Bloom
+  filter of bounded size keeps the others at home.  What it lets through by mistake is found to be
+  alone later.
+* A bucket of very many super-k-mers (a core that very many contexts share) isn't gathered by one
+  task: its windows are counted one by one under a cryptographic digest.  Both ways give the same
+  result.
 """
 
 from __future__ import annotations
@@ -26,17 +28,18 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ebbline.llm.bloom import Bloom, bloom_of
 from ebbline.operators.ranking import salted_join
 from ebbline.session import bounded, discard, written
 
 WIDTH, CORE = 35, 6
 SEED = 7
-#: One text in ``SAMPLE`` tells which buckets hold more than about ``HEAVY`` windows.
-SAMPLE, HEAVY = 16, 1 << 17
+#: Super-k-mers that a bucket holds at most if it is counted by one task.
+HEAVY = 1 << 13
 #: Keys with this many rows are looked up apart from the others.
 HOT = 10_000
 #: Bytes of text, and words of packed strings, that a task works on at once.
-PART, CHUNK = 4 << 20, 1 << 20
+PART, CHUNK = 1 << 20, 1 << 18
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
 
 
@@ -106,10 +109,11 @@ def _runs(words: list[list[bytes]], hashes: _Hashes, width: int, core: int):
     return owner[at], at - first[owner[at]], np.diff(heads, append=len(starts)), value[at].astype(np.int64)
 
 
-def _super_kmers(batches: Iterator[pd.DataFrame], width: int, core: int) -> Iterator[pd.DataFrame]:
+def _super_kmers(batches: Iterator[pd.DataFrame], width: int, core: int, shared: Bloom) -> Iterator[pd.DataFrame]:
     hashes = _Hashes()
     for part, words in _parts(batches):
-        owner, at, windows, bucket = _runs(words, hashes, width, core)
+        runs = _runs(words, hashes, width, core)
+        owner, at, windows, bucket = (x[shared.holds(runs[3].view(np.uint64))] for x in runs)
         packed = [b" ".join(words[o][a : a + w + width - 1]) for o, a, w in zip(owner.tolist(), at.tolist(), windows.tolist())]
         yield pd.DataFrame(
             {
@@ -120,10 +124,12 @@ def _super_kmers(batches: Iterator[pd.DataFrame], width: int, core: int) -> Iter
 
 
 def _bucket_sizes(batches: Iterator[pd.DataFrame], width: int, core: int) -> Iterator[pd.DataFrame]:
+    """Super-k-mers per bucket, and how many rows have them."""
     hashes = _Hashes()
-    for _, words in _parts(batches):
-        _, _, windows, bucket = _runs(words, hashes, width, core)
-        yield pd.DataFrame({"bucket": bucket, "windows": windows}).groupby("bucket", as_index=False).sum()
+    for part, words in _parts(batches):
+        owner, _, _, bucket = _runs(words, hashes, width, core)
+        rows = pd.DataFrame({"bucket": bucket, "kmers": 1, "n": part["n"].to_numpy()[owner]})
+        yield rows.groupby("bucket", as_index=False).sum()
 
 
 def window_ranks(ids: np.ndarray, width: int) -> np.ndarray:
@@ -220,27 +226,38 @@ def lookup(rows: DataFrame, table: DataFrame, key: str, size: str) -> DataFrame:
 
 
 def distinct_texts(docs: DataFrame) -> DataFrame:
-    """``(tid, key, text, n)``: every text once, with the rows that have it; null is the empty text."""
+    """``(tid, key, text, n)``: every text once, with the rows that have it; null is the empty text.
+
+    Only texts that several rows have are shuffled, unless too many are for every task to know them.
+    """
     text = docs.select(F.coalesce("text", F.lit("")).cast("binary").alias("text"))
-    once = text.groupBy(F.unhex(F.sha2("text", 256)).alias("key")).agg(F.first("text").alias("text"), F.count("*").alias("n"))
-    return written(once.select(F.monotonically_increasing_id().alias("tid"), "key", "text", "n"))
+    keyed = text.select(F.unhex(F.sha2("text", 256)).alias("key"), "text")
+    copied = written(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"))
+    near = bounded(copied)
+    some = keyed if near is copied else keyed.join(near, "key", "left_semi")
+    once = some.groupBy("key").agg(F.first("text").alias("text"), F.count("*").alias("n"))
+    if near is not copied:
+        once = once.unionByName(keyed.join(near, "key", "left_anti").withColumn("n", F.lit(1).cast("bigint")))
+    texts = written(once.select(F.monotonically_increasing_id().alias("tid"), "key", "text", "n"))
+    discard(copied)
+    return texts
 
 
 def repeated_spans(texts: DataFrame, width: int = WIDTH, core: int = CORE) -> DataFrame:
     """``(tid, start, stop)``: word ranges of ``texts`` covered by windows that start twice or more."""
+    sizes = texts.mapInPandas(lambda b: _bucket_sizes(b, width, core), "bucket bigint, kmers bigint, n bigint")
+    shared = written(sizes.groupBy("bucket").agg(F.sum("kmers").alias("kmers"), F.sum("n").alias("n")).where("n > 1"))
+    heavy = written(shared.where(F.col("kmers") > HEAVY).select("bucket"))
+    kept = texts.sparkSession.sparkContext.broadcast(bloom_of(shared, "bucket"))
+    discard(shared)
     kmers = texts.mapInPandas(
-        lambda b: _super_kmers(b, width, core), "bucket bigint, tid bigint, at bigint, windows bigint, n bigint, packed binary"
+        lambda b: _super_kmers(b, width, core, kept.value), "bucket bigint, tid bigint, at bigint, windows bigint, n bigint, packed binary"
     )
-    sample = texts.where(F.pmod(F.xxhash64("key"), F.lit(SAMPLE)) == 0)
-    sizes = sample.mapInPandas(lambda b: _bucket_sizes(b, width, core), "bucket bigint, windows bigint")
-    heavy = written(sizes.groupBy("bucket").agg(F.sum("windows").alias("windows")).where(F.col("windows") * SAMPLE > HEAVY).select("bucket"))
     spans = "tid bigint, start bigint, stop bigint"
-    if heavy.isEmpty():
-        light = kmers
-    else:
-        light = kmers.join(bounded(heavy), "bucket", "left_anti")
+    some_heavy = not heavy.isEmpty()
+    light = kmers.join(bounded(heavy), "bucket", "left_anti") if some_heavy else kmers
     found = light.repartition("bucket").sortWithinPartitions("bucket").mapInPandas(lambda b: _count_buckets(b, width), spans)
-    if heavy.isEmpty():
+    if not some_heavy:
         return found
     alone = written(
         kmers.join(bounded(heavy), "bucket", "left_semi").mapInPandas(

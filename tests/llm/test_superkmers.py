@@ -52,7 +52,6 @@ def passages(seed, n=150):
 def all_heavy(monkeypatch):
     """Every bucket is counted window by window, and every key is a hot one."""
     monkeypatch.setattr(superkmers, "HEAVY", 0)
-    monkeypatch.setattr(superkmers, "SAMPLE", 1)
     monkeypatch.setattr(superkmers, "HOT", 2)
 
 
