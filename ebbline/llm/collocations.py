@@ -8,12 +8,15 @@ without its last and without its first word are, so:
    phrases that were not proposed while both shorter phrases were (single words: all of them);
 3. border phrases that turn out frequent are failures of the sample.  Each further pass counts the
    phrases that have a newly found one as a shorter part and that no pass counted before, until
-   a pass finds nothing new.
-
-Every count is exact and every frequent phrase is counted, whatever the sample.  Passes know the
-phrases as a Bloom filter of bounded size; what it lets through by mistake is counted exactly like
-the rest, costs time and changes nothing.  Counts are added up per batch, per task and then per
-phrase, so a frequent phrase is no hot key.
+   a pass finds nothing new;
+4. a last pass counts the words of what was found as text.
+
+Passes 1 to 3 count 64-bit hashes, so the border, which is long and nearly all rare, travels as two
+numbers a phrase; phrases that share a hash can only make it look more frequent.  The last pass
+compares the words themselves, so counts are exact and every frequent phrase is counted, whatever
+the sample.  Passes know phrases as Bloom filters of bounded size; what these let through by
+mistake is counted like the rest, costs time and changes nothing.  Counts are added up per part of
+a task and then per phrase, so a frequent phrase is no hot key.
 """
 
 from __future__ import annotations
@@ -26,22 +29,22 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ebbline.llm.bloom import Bloom, bloom_of
 from ebbline.operators.ranking import latest_n_skewed, salted_join
 from ebbline.session import bounded, discard, written
 
 LEAST, LONGEST, TOP = 100, 5, 2_000
 #: One document in ``SAMPLE`` proposes what it has at half the rate of a phrase that is just frequent.
 SAMPLE, LOWERED = 16, 0.5
-#: Bits of a filter per phrase, hashes per phrase, and the largest filter (16 MB).
-BITS, HASHES, MOST_BITS = 16, 4, 1 << 27
-#: Bytes of text that a task works on at once.
-PART = 8 << 20
+#: Bytes of text that a task works on at once, and phrases it adds up before it passes them on.
+PART, HELD = 4 << 20, 200_000
 SEED = 11
+#: The low bits of a hash hold the phrase's number of words.
+SIZE_BITS = 7
 _LETTERS = bytes(range(65, 91))
 _ENDS = b".,;:!?\n\x0b\x0c\r"
 _PLAIN = bytes.maketrans(_LETTERS + _ENDS + b"\t", _LETTERS.lower() + b"\n" * len(_ENDS) + b" ")
 _MULTIPLY = np.uint64(0x9E3779B97F4A7C15)
-COUNTS = "lang string, size int, phrase string, n bigint"
 
 
 def piece_words(text: bytes) -> list[bytes]:
@@ -54,134 +57,116 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
-def _word_hashes(words) -> np.ndarray:
-    return np.fromiter((xxhash.xxh3_64_intdigest(w, SEED) for w in words), np.uint64, len(words))
-
-
-def _start(lang: str) -> np.uint64:
-    return np.uint64(xxhash.xxh3_64_intdigest(lang.encode(), SEED + 1))
-
+def _sized(h: np.ndarray, size: int) -> np.ndarray:
+    return (h & ~np.uint64(SIZE_BITS)) | np.uint64(size)
 
-class Filter:
-    """Bloom filter over phrase hashes."""
 
-    def __init__(self, size: int):
-        self.n_bits = min(MOST_BITS, 1 << max(16, (size * BITS - 1).bit_length()))
-        self.words = np.zeros(self.n_bits // 64, np.uint64)
+class _Phrases:
+    """Hashes of the phrases that start at each word of some texts of one language."""
 
-    def places(self, h: np.ndarray) -> Iterator[np.ndarray]:
-        step = (h >> np.uint64(32)) | np.uint64(1)
-        for k in range(HASHES):
-            yield (h + np.uint64(k) * step) & np.uint64(self.n_bits - 1)
+    def __init__(self, words: list[bytes], lang: str):
+        number, distinct = pd.factorize(np.array(words, dtype=object))
+        hashes = np.fromiter((xxhash.xxh3_64_intdigest(w, SEED) for w in distinct), np.uint64, len(distinct))
+        self.words = hashes[number]
+        self.inside = np.array([w != b"\n" for w in distinct], bool)[number]
+        self.h = np.full(len(words), xxhash.xxh3_64_intdigest(lang.encode(), SEED + 1), np.uint64)
 
-    def holds(self, h: np.ndarray) -> np.ndarray:
-        found = np.ones(len(h), bool)
-        for place in self.places(h):
-            found &= (self.words[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63)) & np.uint64(1)).astype(bool)
-        return found
+    def grown(self, at: np.ndarray, size: int) -> np.ndarray:
+        """Hashes of the phrases of ``size`` words at the places ``at``, known there for one word less."""
+        longer = _mixed(self.h[at] ^ self.words[at + size - 1])
+        self.h[at] = longer
+        return _sized(longer, size)
 
 
-def _phrase_hashes(batch: pd.DataFrame) -> np.ndarray:
-    out = np.empty(len(batch), np.uint64)
-    starts: dict[str, np.uint64] = {}
-    for i, (lang, phrase) in enumerate(zip(batch["lang"], batch["phrase"])):
-        if lang not in starts:
-            starts[lang] = _start(lang)
-        h = np.full(1, starts[lang])
-        for word in _word_hashes(phrase.encode().split(b" ")):
-            h = _mixed(h ^ word)
-        out[i] = h[0]
-    return out
-
-
-def filter_of(phrases: DataFrame) -> Filter:
-    """Filter of ``(lang, phrase)`` rows; bits are put together by Spark, the driver gets at most 32 MB."""
-    made = Filter(phrases.count())
-
-    def bits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            place = np.concatenate(list(made.places(_phrase_hashes(batch))))
-            yield pd.DataFrame({"word": (place >> np.uint64(6)).astype(np.int64), "bit": (place & np.uint64(63)).astype(np.int32)})
-
-    found = phrases.select("lang", "phrase").mapInPandas(bits, "word bigint, bit int")
-    words = found.groupBy("word").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("bits")).toArrow()
-    made.words[words["word"].to_numpy()] = words["bits"].to_numpy().astype(np.int64).view(np.uint64)
-    return made
-
-
-def _phrases(words: list[bytes], lang: str, longest: int, known: Filter | None, fresh: Filter | None):
-    """``(size, phrase, n)`` of the phrases to count, each once; size 0 is the number of words.
+def _hash_counts(words: list[bytes], lang: str, longest: int, known: Bloom | None, fresh: Bloom | None):
+    """``(hashes, counts)`` per length of the phrases to count, each once.
 
     Without ``known`` every phrase counts, else those of which both shorter parts are in it, and with
     ``fresh`` only if one of them is in that too.
     """
-    number, distinct = pd.factorize(np.array(words, dtype=object))
-    number = number.astype(np.int64)
-    inside = np.array([w != b"\n" for w in distinct])[number]
-    yield 0, b"", int(inside.sum())
-    hashes = _word_hashes(distinct)[number] if known else None
-    rank, h, begin, alive, new = number, None, None, inside, None
+    phrases = _Phrases(words, lang)
+    alive = new = None
     for size in range(1, longest + 1):
-        # Places of alive phrases one word shorter that are followed by another such.
         if size == 1:
-            at = np.flatnonzero(inside)
+            at = np.flatnonzero(phrases.inside)
         else:
-            both = alive[:-1] & alive[1:]
-            if new is not None:
-                counted = both & (new[:-1] | new[1:])
-            at = np.flatnonzero(both)
+            at = np.flatnonzero(alive[:-1] & alive[1:])
         if not len(at):
             return
-        last = at + size - 1
-        if size > 1:
-            pairs = rank[at] * len(distinct) + number[last]
-            first, ids = np.unique(pairs, return_index=True, return_inverse=True)[1:]
-            rank = np.zeros(len(number), np.int64)
-            rank[at] = ids
-        else:
-            first, ids = np.unique(number[at], return_index=True, return_inverse=True)[1:]
-        wanted = np.ones(len(first), bool)
+        h, first, which, n = np.unique(phrases.grown(at, size), return_index=True, return_inverse=True, return_counts=True)
+        if fresh is None:
+            yield h, n
+        elif size > 1:
+            wanted = (new[:-1] | new[1:])[at[first]]
+            yield h[wanted], n[wanted]
+        alive = np.zeros(len(words), bool)
+        alive[at] = True if known is None else known.holds(h)[which]
         if fresh is not None:
-            wanted = counted[at[first]] if size > 1 else np.zeros(len(first), bool)
-        total = np.bincount(ids)
-        for i in np.flatnonzero(wanted).tolist():
-            a = int(at[first[i]])
-            yield size, b" ".join(words[a : a + size]), int(total[i])
-        if size == longest:
+            new = np.zeros(len(words), bool)
+            new[at] = fresh.holds(h)[which]
+
+
+def _add_texts(counts: dict, words: list[bytes], lang: str, longest: int, found: Bloom) -> None:
+    """Add the occurrences of phrases in ``found`` to ``counts`` by (lang, phrase)."""
+    phrases = _Phrases(words, lang)
+    counts[lang, b""] = counts.get((lang, b""), 0) + int(phrases.inside.sum())
+    alive = None
+    for size in range(1, longest + 1):
+        at = np.flatnonzero(phrases.inside if size == 1 else alive[:-1] & alive[1:])
+        if not len(at):
             return
-        if known is None:
-            alive = np.zeros(len(number), bool)
-            alive[at] = True
-            continue
-        # A phrase is judged once per batch, not once per occurrence.
-        before = np.full(len(first), _start(lang)) if size == 1 else begin[at[first]]
-        mine = _mixed(before ^ hashes[last[first]])
-        begin = np.zeros(len(number), np.uint64)
-        begin[at] = mine[ids]
-        alive = np.zeros(len(number), bool)
-        alive[at] = known.holds(mine)[ids]
-        if fresh is not None:
-            new = np.zeros(len(number), bool)
-            new[at] = fresh.holds(mine)[ids]
+        h = phrases.grown(at, size)
+        held = found.holds(h)
+        alive = np.zeros(len(words), bool)
+        alive[at] = held
+        for i in at[held].tolist():
+            key = lang, b" ".join(words[i : i + size])
+            counts[key] = counts.get(key, 0) + 1
 
 
-def _counted(docs: DataFrame, longest: int, known: Filter | None = None, fresh: Filter | None = None) -> DataFrame:
-    """Exact counts ``(lang, size, phrase, n)`` over ``docs`` of the phrases that the filters let through."""
-    spark = docs.sparkSession
-    filters = spark.sparkContext.broadcast((known, fresh))
+def _parts(batch: pd.DataFrame) -> Iterator[tuple[str, list[bytes]]]:
+    """Words of a batch's texts by language, some megabytes at a time."""
+    for lang, rows in batch.groupby("lang"):
+        part = rows["text"].str.len().cumsum().to_numpy() // PART
+        for _, texts in rows["text"].groupby(part):
+            yield lang, [w for t in texts for w in (*piece_words(t), b"\n")]
+
+
+def _counted(texts: DataFrame, longest: int, known: Bloom | None = None, fresh: Bloom | None = None) -> DataFrame:
+    """``(h, n)``: occurrences over ``texts`` of the phrases that the filters let through, by hash."""
+    filters = texts.sparkSession.sparkContext.broadcast((known, fresh))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known, fresh = filters.value
         for batch in batches:
-            for lang, rows in batch.groupby("lang"):
-                part = rows["text"].str.len().cumsum().to_numpy() // PART
-                for _, texts in rows["text"].groupby(part):
-                    words = [w for t in texts for w in (*piece_words(t), b"\n")]
-                    found = pd.DataFrame(list(_phrases(words, lang, longest, known, fresh)), columns=["size", "phrase", "n"])
-                    found["phrase"] = [p.decode() for p in found["phrase"]]
-                    yield found.assign(lang=lang)[["lang", "size", "phrase", "n"]]
+            for lang, words in _parts(batch):
+                for h, n in _hash_counts(words, lang, longest, known, fresh):
+                    yield pd.DataFrame({"h": h.view(np.int64), "n": n})
+
+    return texts.mapInPandas(count, "h bigint, n bigint").groupBy("h").agg(F.sum("n").alias("n"))
+
+
+def _counted_texts(texts: DataFrame, longest: int, found: Bloom) -> DataFrame:
+    """``(lang, size, phrase, n)``: exact occurrences of the phrases in ``found``, and of all words as size 0."""
+    held = texts.sparkSession.sparkContext.broadcast(found)
+
+    def rows(counts: dict) -> pd.DataFrame:
+        table = pd.DataFrame([(lang, p.decode(), n) for (lang, p), n in counts.items()], columns=["lang", "phrase", "n"])
+        counts.clear()
+        return table
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts: dict[tuple[str, bytes], int] = {}
+        for batch in batches:
+            for lang, words in _parts(batch):
+                _add_texts(counts, words, lang, longest, held.value)
+                if len(counts) > HELD:
+                    yield rows(counts)
+        yield rows(counts)
 
-    return docs.mapInPandas(count, COUNTS).groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
+    size = F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " ")))
+    found_rows = texts.mapInPandas(count, "lang string, phrase string, n bigint").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+    return found_rows.select("lang", size.alias("size"), "phrase", "n")
 
 
 def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, sample: int = SAMPLE) -> DataFrame:
@@ -192,22 +177,22 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
     some = texts.where(F.pmod(F.xxhash64(*[docs[c] for c in ("doc_id", "text")]), F.lit(sample)) == 0)
     enough = max(1, int(least * LOWERED / sample))
-    proposed = written(_counted(some, longest).where((F.col("n") >= enough) & (F.col("size").between(1, longest - 1))))
-    first = _counted(texts, longest, filter_of(proposed))
-    frequent = written(first.where((F.col("n") >= least) | (F.col("size") == 0)))
-    short = F.col("size").between(1, longest - 1)
-    new = frequent.where(short).join(proposed.select("lang", "phrase"), ["lang", "phrase"], "left_anti")
-    while True:
-        new = written(new)
-        if new.isEmpty():
-            return frequent
-        found = _counted(texts, longest, filter_of(frequent.where(short)), filter_of(new)).where((F.col("n") >= least) & (F.col("size") > 0))
-        added = written(found.join(frequent.select("lang", "phrase"), ["lang", "phrase"], "left_anti"))
-        discard(new)
-        new = added.where(short)
-        both = written(frequent.unionByName(added))
-        discard(frequent)
-        frequent = both
+    short = F.col("h").bitwiseAND(SIZE_BITS) < longest
+    proposed = written(_counted(some, longest).where((F.col("n") >= enough) & short).select("h"))
+    frequent = written(_counted(texts, longest, bloom_of(proposed, "h")).where(F.col("n") >= least).select("h"))
+    new = written(frequent.where(short).join(proposed, "h", "left_anti"))
+    discard(proposed)
+    while not new.isEmpty():
+        known, fresh = bloom_of(frequent.where(short), "h"), bloom_of(new, "h")
+        found = _counted(texts, longest, known, fresh).where(F.col("n") >= least).select("h")
+        added = written(found.join(frequent, "h", "left_anti"))
+        old = frequent, new
+        frequent, new = written(frequent.union(added)), written(added.where(short))
+        discard(added, *old)
+    discard(new)
+    counts = _counted_texts(texts, longest, bloom_of(frequent, "h"))
+    discard(frequent)
+    return written(counts.where((F.col("n") >= least) | (F.col("size") == 0)))
 
 
 def scored(frequent: DataFrame, percent: int = 100) -> DataFrame:

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ebbline.llm import collocations
+from ebbline.llm import bloom, collocations
 from tests.llm.cases import SCHEMA, awkward, documents, empty
 
 
@@ -74,7 +74,7 @@ def test_same_as_plain_counts_whatever_the_sample(spark, sample):
 
 
 def test_a_full_filter_changes_nothing(spark, monkeypatch):
-    monkeypatch.setattr(collocations, "MOST_BITS", 64)
+    monkeypatch.setattr(bloom, "MOST_BITS", 64)
     rows = texts(9, 150)
     assert result(spark.createDataFrame(rows, SCHEMA), least=8, top=25) == brute([(r[2], r[1]) for r in rows], 8, 25)
 
@@ -95,14 +95,12 @@ def test_awkward_rows(spark):
 def test_scores_beyond_64_bits(spark):
     big = 10**14
     rows = [("en", 0, "", 9 * 10**15), ("en", 1, "a", big + 7), ("en", 1, "b", big + 9), ("en", 2, "a b", big - 1)]
-    found = collocations.scored(spark.createDataFrame(rows, collocations.COUNTS)).first()
+    found = collocations.scored(spark.createDataFrame(rows, "lang string, size int, phrase string, n bigint")).first()
     assert found.score == 1000 * (big - 1) * 9 * 10**15 // ((big + 7) * (big + 9))
 
 
 def test_filter_holds_what_went_in(spark):
-    rows = [("en", f"word{i} and {i}") for i in range(5_000)]
-    made = collocations.filter_of(spark.createDataFrame(rows, "lang string, phrase string"))
-    import pandas as pd
-
-    assert made.holds(collocations._phrase_hashes(pd.DataFrame(rows, columns=["lang", "phrase"]))).all()
-    assert made.holds(np.random.default_rng(0).integers(0, 2**63, 10_000, dtype=np.uint64)).mean() < 0.01
+    rng = np.random.default_rng(0)
+    inside, other = (rng.integers(-(2**63), 2**63, 5_000) for _ in range(2))
+    made = bloom.bloom_of(spark.createDataFrame([(int(h),) for h in inside], "h bigint"), "h")
+    assert made.holds(inside.view(np.uint64)).all() and made.holds(other.view(np.uint64)).mean() < 0.01
