@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ebbline.operators import asof, metrics, models, quality, sampling, terms
+from ebbline.operators import asof, boosting, metrics, models, quality, sampling, terms
 from ebbline.plans import features, serving
 from ebbline.plans.queries import query, rounded
 from ebbline.session import durable
@@ -74,6 +74,21 @@ def split_scoreboard(d: Domain) -> DataFrame:
     return metrics.scoreboard(metrics.class_report(parts, "label", "prediction", ["split", "part"]), ["part"])
 
 
+#: Settings of the registered booster, which its SQL counterpart repeats.
+BOOSTED = boosting.Settings(rounds=2, rate=0.3, depth=2, l1=0.1, l2=1.0, gamma=0.05, least_child=1.0)
+BOOSTED_BINS = 8
+
+
+@query
+def boosted_scores(d: Domain) -> DataFrame:
+    """Second-order booster on all rows: probability of class 1 after each round."""
+    frame = d.ml_frame()
+    forest = boosting.fit(frame, BOOSTED, bins=BOOSTED_BINS)
+    stages = range(1, BOOSTED.rounds + 1)
+    scored = frame.withColumn("_p", boosting.staged_probabilities(forest, F.col("features"), list(stages)))
+    return rounded(scored.select("id", "label", *[F.col("_p")[k - 1].alias(f"p_{k}") for k in stages]))
+
+
 @query
 def feature_importance(d: Domain) -> DataFrame:
     mart = durable(features.training_mart(d, horizon="6m"))
@@ -98,6 +113,18 @@ def score_companies(d: Domain) -> DataFrame:
     return _scores(d)
 
 
+@query
+def score_audit(d: Domain) -> DataFrame:
+    """Which companies have scores, and whether the two classes of every horizon add up to 100 per cent."""
+    scores = _scores(d)
+    right = F.lit(True)
+    for h in asof.HORIZONS:
+        yes, no = F.col(f"proba_{h}_true"), F.col(f"proba_{h}_false")
+        right &= yes.between(0, 100) & no.between(0, 100) & (F.abs(yes + no - 100) < 0.011)
+    audited = scores.select("code", right.alias("adds_up"))
+    return d.companies().select("code").join(audited, "code", "left").select("code", F.col("adds_up").isNotNull().alias("scored"), "adds_up")
+
+
 @query
 def prediction_panel(d: Domain) -> DataFrame:
     return serving.prediction_panel(d.companies(), _scores(d))

@@ -8,6 +8,8 @@ from ebbline.operators.macro import MONTHLY_SERIES
 from ebbline.operators.news import MONTHS, RATIO_COLUMNS
 from ebbline.operators.prices import RETURNS
 from ebbline.plans.features import feature_columns
+from ebbline.plans.model_oracle import boosted_sql
+from ebbline.plans.model_queries import BOOSTED, BOOSTED_BINS
 from ebbline.plans.page_oracle import ARTICLE_LIST_EXTRACT, HTML_EXTRACT
 from ebbline.plans.queries import DOC_DOUBTS, DOC_SUBJECT, DOC_TERMS, VIEWER, VIEWER_ARGS
 
@@ -696,3 +698,12 @@ ORACLE |= {
               FROM s JOIN j USING (doc_id)), r AS ({report("p", "split, part")})
         SELECT part, {cols(SCORES, "round_even(avg({0}), 3) AS {0}")} FROM r GROUP BY part""",
 }
+
+ORACLE |= {
+    "boosted_scores": boosted_sql(BOOSTED, BOOSTED_BINS),
+    # What must hold of any scores: who gets one, and that class probabilities are percentages of a whole.
+    "score_audit": f"""WITH live AS ({ORACLE["live_features"]}), complete AS (
+            SELECT DISTINCT code FROM live WHERE {" AND ".join(f"{c} IS NOT NULL" for c in feature_columns())})
+        SELECT companies.code, complete.code IS NOT NULL AS scored, CASE WHEN complete.code IS NOT NULL THEN TRUE END AS adds_up
+        FROM ({CTE["companies"]}) companies LEFT JOIN complete USING (code)""",
+}
