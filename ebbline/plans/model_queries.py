@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ebbline.operators import asof, boosting, metrics, models, quality, sampling, terms
+from ebbline.operators import asof, boosting, metrics, models, quality, sampling, selection, terms
 from ebbline.plans import features, serving
 from ebbline.plans.queries import query, rounded
 from ebbline.session import durable
@@ -89,6 +89,26 @@ def boosted_scores(d: Domain) -> DataFrame:
     return rounded(scored.select("id", "label", *[F.col("_p")[k - 1].alias(f"p_{k}") for k in stages]))
 
 
+@query
+def split_copies(d: Domain) -> DataFrame:
+    """How often each row counts in each of the 30 training sets after random oversampling."""
+    return selection.split_copies(d.ml_frame())
+
+
+@query
+def boosted_comparison(d: Domain) -> DataFrame:
+    """Two boosters x two samplers over 30 splits, 120 models of 5 rounds in one pass."""
+    settings = {"plain": boosting.Settings(rounds=5), "regularised": boosting.Settings(rounds=5, l1=0.5, l2=5.0, gamma=0.1)}
+    return selection.compare(d.ml_frame(), settings)
+
+
+@query
+def boosted_grid(d: Domain) -> DataFrame:
+    """L1 and L2 weights and rounds by 4 folds: 24 models in one pass, rounds read off the longest fit."""
+    grid = {"rounds": [2, 5, 10], "l1": [0.0, 0.5], "l2": [0.0, 1.0, 5.0]}
+    return rounded(selection.grid_search(d.ml_frame(), grid, boosting.Settings(depth=3)))
+
+
 @query
 def feature_importance(d: Domain) -> DataFrame:
     mart = durable(features.training_mart(d, horizon="6m"))

@@ -706,4 +706,13 @@ ORACLE |= {
             SELECT DISTINCT code FROM live WHERE {" AND ".join(f"{c} IS NOT NULL" for c in feature_columns())})
         SELECT companies.code, complete.code IS NOT NULL AS scored, CASE WHEN complete.code IS NOT NULL THEN TRUE END AS adds_up
         FROM ({CTE["companies"]}) companies LEFT JOIN complete USING (code)""",
+    "split_copies": f"""WITH ml AS ({ML}), s AS ({split_rows("ml", "id")}), t AS (
+            SELECT split, id, label, row_number() OVER (PARTITION BY split, label ORDER BY {hashed("id", "20")}, id) AS rank,
+                   count(*) FILTER (label = 0) OVER (PARTITION BY split) AS n0, count(*) FILTER (label = 1) OVER (PARTITION BY split) AS n1
+            FROM s WHERE NOT is_test),
+        drawn AS (SELECT split, {hash_number("id", "20", "'base'")} % n1 + 1 AS rank, count(*) AS n
+                  FROM t WHERE label = 0 AND rank <= n0 - n1 GROUP BY ALL)
+        SELECT s.split, s.id, s.label, is_test, CASE WHEN is_test THEN 0 ELSE 1 + coalesce(d.n, 0) END AS n_copies
+        FROM s LEFT JOIN t ON t.split = s.split AND t.id = s.id AND t.label = 1
+        LEFT JOIN drawn d ON d.split = t.split AND d.rank = t.rank""",
 }
