@@ -199,14 +199,14 @@ def _windows(batches: Iterator[pd.DataFrame], width: int) -> Iterator[pd.DataFra
     """The windows of super-k-mers one by one, by digest."""
     for batch in batches:
         rows = []
-        for tid, at, n, packed in zip(batch["tid"], batch["at"], batch["n"], batch["packed"]):
+        for kind, n, packed in zip(batch["kind"], batch["n"], batch["packed"]):
             words = packed.split(b" ")
             for i in range(len(words) - width + 1):
-                rows.append((tid, at + i, n, hashlib.blake2b(b" ".join(words[i : i + width]), digest_size=16).digest()))
+                rows.append((kind, i, n, hashlib.blake2b(b" ".join(words[i : i + width]), digest_size=16).digest()))
             if len(rows) > 50_000:
-                yield pd.DataFrame(rows, columns=["tid", "start", "n", "digest"])
+                yield pd.DataFrame(rows, columns=["kind", "at", "n", "digest"])
                 rows = []
-        yield pd.DataFrame(rows, columns=["tid", "start", "n", "digest"])
+        yield pd.DataFrame(rows, columns=["kind", "at", "n", "digest"])
 
 
 def lookup(rows: DataFrame, table: DataFrame, key: str, size: str) -> DataFrame:
@@ -244,7 +244,7 @@ def distinct_texts(docs: DataFrame) -> DataFrame:
 
 
 def repeated_spans(texts: DataFrame, width: int = WIDTH, core: int = CORE) -> DataFrame:
-    """``(tid, start, stop)``: word ranges of ``texts`` covered by windows that start twice or more."""
+    """``(tid, spans)``: word ranges of ``texts`` covered by windows that start twice or more; several rows a text."""
     sizes = texts.mapInPandas(lambda b: _bucket_sizes(b, width, core), "bucket bigint, kmers bigint, n bigint")
     shared = written(sizes.groupBy("bucket").agg(F.sum("kmers").alias("kmers"), F.sum("n").alias("n")).where("n > 1"))
     heavy = written(shared.where(F.col("kmers") > HEAVY).select("bucket"))
@@ -257,16 +257,22 @@ def repeated_spans(texts: DataFrame, width: int = WIDTH, core: int = CORE) -> Da
     some_heavy = not heavy.isEmpty()
     light = kmers.join(bounded(heavy), "bucket", "left_anti") if some_heavy else kmers
     found = light.repartition("bucket").sortWithinPartitions("bucket").mapInPandas(lambda b: _count_buckets(b, width), spans)
+    found = found.select("tid", F.array(F.struct("start", "stop")).alias("spans"))
     if not some_heavy:
         return found
-    alone = written(
-        kmers.join(bounded(heavy), "bucket", "left_semi").mapInPandas(
-            lambda b: _windows(b, width), "tid bigint, start bigint, n bigint, digest binary"
-        )
+    rows = kmers.join(bounded(heavy), "bucket", "left_semi").select("tid", "at", "n", "packed", F.unhex(F.sha2("packed", 256)).alias("key"))
+    # Equal super-k-mers are one kind with a weight; only kinds are taken apart.
+    kinds = written(
+        rows.groupBy("key").agg(F.first("packed").alias("packed"), F.sum("n").alias("n"), F.count("*").alias("_kmers"))
+        .withColumn("kind", F.monotonically_increasing_id())
     )
+    alone = written(kinds.mapInPandas(lambda b: _windows(b, width), "kind bigint, at bigint, n bigint, digest binary"))
     seen = alone.groupBy("digest").agg(F.sum("n").alias("seen"), F.count("*").alias("_rows")).where("seen > 1").drop("seen")
-    more = lookup(alone.select("tid", "start", "digest"), written(seen), "digest", "_rows")
-    return found.union(more.select("tid", "start", (F.col("start") + width).alias("stop")))
+    places = lookup(alone.select("kind", "at", "digest"), written(seen), "digest", "_rows").groupBy("kind").agg(F.collect_list("at").alias("places"))
+    repeats = written(kinds.join(places, "kind").select("key", "_kmers", "places"))
+    more = lookup(rows.select("tid", "at", "key"), repeats, "key", "_kmers")
+    span = F.transform("places", lambda i: F.struct((F.col("at") + i).alias("start"), (F.col("at") + i + width).alias("stop")))
+    return found.union(more.select("tid", span.alias("spans")))
 
 
 def _kept(batches: Iterator[pd.DataFrame], digest: bool) -> Iterator[pd.DataFrame]:
@@ -300,7 +306,7 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, core: int = CORE, digest
     ids are kept.  Other columns are ignored; an empty table gives no rows.
     """
     texts = distinct_texts(docs)
-    spans = repeated_spans(texts, width, core).groupBy("tid").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    spans = repeated_spans(texts, width, core).groupBy("tid").agg(F.flatten(F.collect_list("spans")).alias("spans"))
     schema = "n_words bigint, n_removed bigint, removed array<struct<start:bigint,stop:bigint>>, kept string, key binary, n bigint"
     done = written(texts.join(spans, "tid", "left").select("key", "text", "n", "spans").mapInPandas(lambda b: _kept(b, digest), schema))
     discard(texts)
