@@ -6,9 +6,11 @@ without its last and without its first word are, so:
 1. phrases that are frequent in a sample of the documents, at a lowered threshold, are proposed;
 2. one pass over all documents counts every proposed phrase and the negative border: occurring
    phrases that were not proposed while both shorter phrases were (single words: all of them);
-3. border phrases that turn out frequent are failures of the sample.  Each further pass counts the
-   phrases that have a newly found one as a shorter part and that no pass counted before, until
-   a pass finds nothing new;
+3. border phrases that turn out frequent are failures of the sample.  If there are any, an expansion
+   pass counts, length after length, the phrases one of whose shorter parts is a failure or is
+   counted in this pass while the other is known.  A frequent phrase that is still not counted
+   would have a part that is neither known nor counted, and so on down to single words, which
+   were all counted: one expansion closes the border;
 4. a last pass counts the words of what was found as text.
 
 Passes 1 to 3 count 64-bit hashes, so the border, which is long and nearly all rare, travels as two
@@ -66,6 +68,7 @@ class _Phrases:
 
     def __init__(self, words: list[bytes], lang: str):
         number, distinct = pd.factorize(np.array(words, dtype=object))
+        self.number = number.astype(np.int64)
         hashes = np.fromiter((xxhash.xxh3_64_intdigest(w, SEED) for w in distinct), np.uint64, len(distinct))
         self.words = hashes[number]
         self.inside = np.array([w != b"\n" for w in distinct], bool)[number]
@@ -81,8 +84,8 @@ class _Phrases:
 def _hash_counts(words: list[bytes], lang: str, longest: int, known: Bloom | None, fresh: Bloom | None):
     """``(hashes, counts)`` per length of the phrases to count, each once.
 
-    Without ``known`` every phrase counts, else those of which both shorter parts are in it, and with
-    ``fresh`` only if one of them is in that too.
+    Without ``known`` every phrase counts, else those of which both shorter parts are in it.  With
+    ``fresh`` a phrase counts if one of them is in that or counts itself, and the other is known too.
     """
     phrases = _Phrases(words, lang)
     alive = new = None
@@ -94,34 +97,40 @@ def _hash_counts(words: list[bytes], lang: str, longest: int, known: Bloom | Non
         if not len(at):
             return
         h, first, which, n = np.unique(phrases.grown(at, size), return_index=True, return_inverse=True, return_counts=True)
+        lives = np.ones(len(h), bool) if known is None else known.holds(h)
         if fresh is None:
             yield h, n
-        elif size > 1:
-            wanted = (new[:-1] | new[1:])[at[first]]
-            yield h[wanted], n[wanted]
-        alive = np.zeros(len(words), bool)
-        alive[at] = True if known is None else known.holds(h)[which]
-        if fresh is not None:
+        else:
+            counted = (new[:-1] | new[1:])[at[first]] if size > 1 else np.zeros(len(h), bool)
+            yield h[counted], n[counted]
+            lives |= counted
             new = np.zeros(len(words), bool)
-            new[at] = fresh.holds(h)[which]
+            new[at] = (counted | fresh.holds(h))[which]
+        alive = np.zeros(len(words), bool)
+        alive[at] = lives[which]
 
 
 def _add_texts(counts: dict, words: list[bytes], lang: str, longest: int, found: Bloom) -> None:
     """Add the occurrences of phrases in ``found`` to ``counts`` by (lang, phrase)."""
     phrases = _Phrases(words, lang)
     counts[lang, b""] = counts.get((lang, b""), 0) + int(phrases.inside.sum())
-    alive = None
+    alive, rank = None, phrases.number
     for size in range(1, longest + 1):
         at = np.flatnonzero(phrases.inside if size == 1 else alive[:-1] & alive[1:])
         if not len(at):
             return
-        h = phrases.grown(at, size)
-        held = found.holds(h)
+        held = found.holds(phrases.grown(at, size))
         alive = np.zeros(len(words), bool)
         alive[at] = held
-        for i in at[held].tolist():
+        at = at[held]
+        # Numbers of equal phrases are equal because their words are, not their hashes.
+        pairs = rank[at] * (len(words) + 1) + phrases.number[at + size - 1]
+        first, ids, n = np.unique(pairs, return_index=True, return_inverse=True, return_counts=True)[1:]
+        rank = np.zeros(len(words), np.int64)
+        rank[at] = ids
+        for i, c in zip(at[first].tolist(), n.tolist()):
             key = lang, b" ".join(words[i : i + size])
-            counts[key] = counts.get(key, 0) + 1
+            counts[key] = counts.get(key, 0) + c
 
 
 def _parts(batch: pd.DataFrame) -> Iterator[tuple[str, list[bytes]]]:
@@ -180,16 +189,14 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     short = F.col("h").bitwiseAND(SIZE_BITS) < longest
     proposed = written(_counted(some, longest).where((F.col("n") >= enough) & short).select("h"))
     frequent = written(_counted(texts, longest, bloom_of(proposed, "h")).where(F.col("n") >= least).select("h"))
-    new = written(frequent.where(short).join(proposed, "h", "left_anti"))
+    failures = written(frequent.where(short).join(proposed, "h", "left_anti"))
     discard(proposed)
-    while not new.isEmpty():
-        known, fresh = bloom_of(frequent.where(short), "h"), bloom_of(new, "h")
-        found = _counted(texts, longest, known, fresh).where(F.col("n") >= least).select("h")
-        added = written(found.join(frequent, "h", "left_anti"))
-        old = frequent, new
-        frequent, new = written(frequent.union(added)), written(added.where(short))
-        discard(added, *old)
-    discard(new)
+    if not failures.isEmpty():
+        found = _counted(texts, longest, bloom_of(frequent.where(short), "h"), bloom_of(failures, "h"))
+        more = written(frequent.union(found.where(F.col("n") >= least).select("h")).distinct())
+        discard(frequent)
+        frequent = more
+    discard(failures)
     counts = _counted_texts(texts, longest, bloom_of(frequent, "h"))
     discard(frequent)
     return written(counts.where((F.col("n") >= least) | (F.col("size") == 0)))

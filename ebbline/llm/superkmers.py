@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -35,7 +36,7 @@ from ebbline.session import bounded, discard, written
 WIDTH, CORE = 35, 6
 SEED = 7
 #: Super-k-mers that a bucket holds at most if it is counted by one task.
-HEAVY = 1 << 13
+HEAVY = 1 << 15
 #: Keys with this many rows are looked up apart from the others.
 HOT = 10_000
 #: Bytes of text, and words of packed strings, that a task works on at once.
@@ -61,13 +62,14 @@ def split_words(text: bytes | None) -> list[bytes]:
 
 
 def minimisers(hashes: np.ndarray, width: int, core: int) -> tuple[np.ndarray, np.ndarray]:
-    """``(place, value)`` of the least core of the window that starts at each word.
+    """``(value, moved)`` for the window that starts at each word: the hash of its least core, and whether
+    that is another core, or another place of an equal one, than in the window before.
 
     ``hashes`` are the words' hashes; there is one entry per window of the sequence.
     """
     n = len(hashes) - width + 1
     if n <= 0:
-        return np.empty(0, np.int64), np.empty(0, np.uint64)
+        return np.empty(0, np.uint64), np.empty(0, bool)
     cores = np.full(len(hashes) - core + 1, core, np.uint64)
     for k in range(core):
         cores = (cores ^ hashes[k : k + len(cores)]) * _MIX[0]
@@ -75,13 +77,15 @@ def minimisers(hashes: np.ndarray, width: int, core: int) -> tuple[np.ndarray, n
     cores = (cores ^ (cores >> np.uint64(30))) * _MIX[1]
     cores = (cores ^ (cores >> np.uint64(27))) * _MIX[2]
     cores ^= cores >> np.uint64(31)
-    span, reach, place = width - core + 1, 1, np.arange(len(cores))
+    span, reach, value = width - core + 1, 1, cores
     while reach < span:
         step = min(reach, span - reach)
-        left, right = place[:-step], place[step:]
-        place = np.where(cores[left] <= cores[right], left, right)
+        value = np.minimum(value[:-step], value[step:])
         reach += step
-    return place, cores[place]
+    # A window that begins with its least core leaves it behind.
+    moved = np.ones(n, bool)
+    moved[1:] = (value[1:] != value[:-1]) | (cores[: n - 1] == value[:-1])
+    return value, moved
 
 
 def _parts(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, list[list[bytes]]]]:
@@ -95,18 +99,21 @@ def _parts(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, list
 def _runs(words: list[list[bytes]], hashes: _Hashes, width: int, core: int):
     """Super-k-mers of several texts: (text, first window, windows, bucket), arrays of equal length."""
     sizes = np.fromiter(map(len, words), np.int64, len(words))
-    flat = np.fromiter((hashes[w] for text in words for w in text), np.uint64, int(sizes.sum()))
-    place, value = minimisers(flat, width, core)
+    flat = np.fromiter(map(hashes.__getitem__, chain.from_iterable(words)), np.uint64, int(sizes.sum()))
+    value, moved = minimisers(flat, width, core)
     first = np.cumsum(sizes) - sizes
-    owner = np.repeat(np.arange(len(words)), sizes)[: len(place)]
-    inside = np.arange(len(place)) + width <= (first + sizes)[owner]
-    starts = np.flatnonzero(inside)
-    if not len(starts):
+    # Windows that lie in one text; the first of a text follows a gap and begins a run.
+    inside = np.zeros(len(value) + 1, np.int32)
+    whole = sizes >= width
+    np.add.at(inside, first[whole], 1)
+    np.add.at(inside, (first + sizes - width + 1)[whole], -1)
+    inside = np.cumsum(inside[:-1]) > 0
+    at = np.flatnonzero(inside & (moved | ~np.concatenate([[False], inside[:-1]])))
+    if not len(at):
         return (np.empty(0, np.int64),) * 4
-    # Places differ between texts, so a run never passes the end of one.
-    heads = np.flatnonzero(np.diff(place[starts], prepend=-1))
-    at = starts[heads]
-    return owner[at], at - first[owner[at]], np.diff(heads, append=len(starts)), value[at].astype(np.int64)
+    owner = np.searchsorted(first, at, side="right") - 1
+    last = np.minimum(np.append(at[1:], len(flat)), (first + sizes - width + 1)[owner])
+    return owner, at - first[owner], last - at, value[at].astype(np.int64)
 
 
 def _super_kmers(batches: Iterator[pd.DataFrame], width: int, core: int, shared: Bloom) -> Iterator[pd.DataFrame]:
