@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ebbline.llm.bloom import Bloom, bloom_of
-from ebbline.operators.ranking import salted_join
+from ebbline.operators.ranking import COPIES, salted_join
 from ebbline.session import bounded, discard, written
 
 WIDTH, CORE = 35, 6
@@ -184,36 +184,59 @@ def _repeated(rows: pd.DataFrame, width: int) -> Iterator[tuple[int, int, int]]:
             yield tid, at + start, at + stop
 
 
+COUNTED = "tid bigint, start bigint, stop bigint, kind binary, packed binary, n bigint"
+
+
+def _spans(rows: pd.DataFrame, width: int) -> pd.DataFrame:
+    found = pd.DataFrame(_repeated(rows.reset_index(drop=True), width), columns=["tid", "start", "stop"])
+    return found.assign(kind=None, packed=None, n=None)
+
+
+def _kinds(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    """Rows of heavy buckets by kind, and every kind among them with the rows of the table that have it."""
+    number, packed = pd.factorize(rows["packed"])
+    kind = np.array([hashlib.sha256(p).digest() for p in packed], dtype=object)
+    yield pd.DataFrame({"tid": rows["tid"].to_numpy(), "start": rows["at"].to_numpy(), "stop": None, "kind": kind[number], "packed": None, "n": None})
+    n = np.bincount(number, weights=rows["n"].to_numpy()).astype(np.int64)
+    yield pd.DataFrame({"tid": None, "start": None, "stop": None, "kind": kind, "packed": packed, "n": n})
+
+
 def _count_buckets(batches: Iterator[pd.DataFrame], width: int) -> Iterator[pd.DataFrame]:
-    """Counts whole buckets of rows that come sorted by bucket."""
+    """Counts whole buckets of rows that come sorted by bucket; rows of heavy ones are only told apart."""
     held: list[pd.DataFrame] = []
     words = 0
     for batch in batches:
+        heavy = batch["heavy"].to_numpy()
+        if heavy.any():
+            yield from _kinds(batch[heavy])
+            batch = batch[~heavy]
+        if not len(batch):
+            continue
         held.append(batch)
         words += int(batch["windows"].sum()) + (width - 1) * len(batch)
         if words < CHUNK:
             continue
         rows = pd.concat(held, ignore_index=True)
         open_bucket = rows["bucket"].to_numpy() == rows["bucket"].iat[-1]
-        yield pd.DataFrame(_repeated(rows[~open_bucket].reset_index(drop=True), width), columns=["tid", "start", "stop"])
+        yield _spans(rows[~open_bucket], width)
         held = [rows[open_bucket]]
         words = int(held[0]["windows"].sum()) + (width - 1) * len(held[0])
     if held:
-        yield pd.DataFrame(_repeated(pd.concat(held, ignore_index=True), width), columns=["tid", "start", "stop"])
+        yield _spans(pd.concat(held, ignore_index=True), width)
 
 
 def _windows(batches: Iterator[pd.DataFrame], width: int) -> Iterator[pd.DataFrame]:
     """The windows of super-k-mers one by one, by digest."""
     for batch in batches:
         rows = []
-        for kind, n, packed in zip(batch["kind"], batch["n"], batch["packed"]):
+        for kind, n, packed in zip(batch["number"], batch["n"], batch["packed"]):
             words = packed.split(b" ")
             for i in range(len(words) - width + 1):
                 rows.append((kind, i, n, hashlib.blake2b(b" ".join(words[i : i + width]), digest_size=16).digest()))
             if len(rows) > 50_000:
-                yield pd.DataFrame(rows, columns=["kind", "at", "n", "digest"])
+                yield pd.DataFrame(rows, columns=["number", "at", "n", "digest"])
                 rows = []
-        yield pd.DataFrame(rows, columns=["kind", "at", "n", "digest"])
+        yield pd.DataFrame(rows, columns=["number", "at", "n", "digest"])
 
 
 def lookup(rows: DataFrame, table: DataFrame, key: str, size: str) -> DataFrame:
@@ -260,25 +283,25 @@ def repeated_spans(texts: DataFrame, width: int = WIDTH, core: int = CORE) -> Da
     kmers = texts.mapInPandas(
         lambda b: _super_kmers(b, width, core, kept.value), "bucket bigint, tid bigint, at bigint, windows bigint, n bigint, packed binary"
     )
-    spans = "tid bigint, start bigint, stop bigint"
-    some_heavy = not heavy.isEmpty()
-    light = kmers.join(bounded(heavy), "bucket", "left_anti") if some_heavy else kmers
-    found = light.repartition("bucket").sortWithinPartitions("bucket").mapInPandas(lambda b: _count_buckets(b, width), spans)
-    found = found.select("tid", F.array(F.struct("start", "stop")).alias("spans"))
-    if not some_heavy:
-        return found
-    rows = kmers.join(bounded(heavy), "bucket", "left_semi").select("tid", "at", "n", "packed", F.unhex(F.sha2("packed", 256)).alias("key"))
-    # Equal super-k-mers are one kind with a weight; only kinds are taken apart.
-    kinds = written(
-        rows.groupBy("key").agg(F.first("packed").alias("packed"), F.sum("n").alias("n"), F.count("*").alias("_kmers"))
-        .withColumn("kind", F.monotonically_increasing_id())
+    # Rows of a heavy bucket are dealt by what they hold, so that equal ones still meet.
+    marked = kmers.join(bounded(heavy.withColumn("heavy", F.lit(True))), "bucket", "left").withColumn("heavy", F.col("heavy").isNotNull())
+    dealt = marked.withColumn("to", F.when(F.col("heavy"), F.xxhash64("packed", F.pmod("tid", F.lit(COPIES)))).otherwise(F.col("bucket")))
+    ordered = dealt.repartition("to").sortWithinPartitions("heavy", "bucket").drop("to")
+    counted = written(ordered.mapInPandas(lambda b: _count_buckets(b, width), COUNTED))
+    found = counted.where("stop IS NOT NULL").select("tid", F.array(F.struct("start", "stop")).alias("spans"))
+    kinds = (
+        counted.where("packed IS NOT NULL").groupBy("kind").agg(F.first("packed").alias("packed"), F.sum("n").alias("n"))
+        .withColumn("number", F.monotonically_increasing_id())
     )
-    alone = written(kinds.mapInPandas(lambda b: _windows(b, width), "kind bigint, at bigint, n bigint, digest binary"))
+    kinds = written(kinds)
+    alone = written(kinds.mapInPandas(lambda b: _windows(b, width), "number bigint, at bigint, n bigint, digest binary"))
     seen = alone.groupBy("digest").agg(F.sum("n").alias("seen"), F.count("*").alias("_rows")).where("seen > 1").drop("seen")
-    places = lookup(alone.select("kind", "at", "digest"), written(seen), "digest", "_rows").groupBy("kind").agg(F.collect_list("at").alias("places"))
-    repeats = written(kinds.join(places, "kind").select("key", "_kmers", "places"))
-    more = lookup(rows.select("tid", "at", "key"), repeats, "key", "_kmers")
-    span = F.transform("places", lambda i: F.struct((F.col("at") + i).alias("start"), (F.col("at") + i + width).alias("stop")))
+    places = lookup(alone.select("number", "at", "digest"), written(seen), "digest", "_rows").groupBy("number").agg(F.collect_list("at").alias("places"))
+    members = counted.where("kind IS NOT NULL AND packed IS NULL").select("tid", "start", "kind")
+    sizes = members.groupBy("kind").agg(F.count("*").alias("_kmers"))
+    repeats = written(kinds.join(places, "number").join(sizes, "kind").select("kind", "_kmers", "places"))
+    more = lookup(members, repeats, "kind", "_kmers")
+    span = F.transform("places", lambda i: F.struct((F.col("start") + i).alias("start"), (F.col("start") + i + width).alias("stop")))
     return found.union(more.select("tid", span.alias("spans")))
 
 
