@@ -29,10 +29,16 @@ def local_session(app: str = "ebbline", cores: int | str = "*", **conf: str) ->
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir``.
 
-    Only where that is unset (laptops) a folder below the warehouse, which executors share too.
+    Only where that is unset (laptops) a folder below the warehouse, which executors share too; on a
+    cluster whose warehouse is a folder of one machine this is refused.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return configured or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared"
+    if configured:
+        return configured
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if warehouse.startswith(("file:", "/")) and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return warehouse + "/_shared"
 
 
 def durable(df: DataFrame) -> DataFrame:
