@@ -136,6 +136,9 @@ def score_companies(d: Domain) -> DataFrame:
 @query
 def score_audit(d: Domain) -> DataFrame:
     """Which companies have scores, and whether the two classes of every horizon add up to 100 per cent."""
+    horizons = features.training_mart(d).select("horizon").distinct().count()
+    if horizons < len(asof.HORIZONS):  # a model would lack rows to learn from
+        return d.companies().select("code", F.lit(False).alias("scored"), F.lit(None).cast("boolean").alias("adds_up"))
     scores = _scores(d)
     right = F.lit(True)
     for h in asof.HORIZONS:

@@ -703,7 +703,8 @@ ORACLE |= {
     "boosted_scores": boosted_sql(BOOSTED, BOOSTED_BINS),
     # What must hold of any scores: who gets one, and that class probabilities are percentages of a whole.
     "score_audit": f"""WITH live AS ({ORACLE["live_features"]}), complete AS (
-            SELECT DISTINCT code FROM live WHERE {" AND ".join(f"{c} IS NOT NULL" for c in feature_columns())})
+            SELECT DISTINCT code FROM live WHERE {" AND ".join(f"{c} IS NOT NULL" for c in feature_columns())}
+            AND (SELECT count(DISTINCT horizon) FROM ({ORACLE["training_mart"]})) = 3)
         SELECT companies.code, complete.code IS NOT NULL AS scored, CASE WHEN complete.code IS NOT NULL THEN TRUE END AS adds_up
         FROM ({CTE["companies"]}) companies LEFT JOIN complete USING (code)""",
     "split_copies": f"""WITH ml AS ({ML}), s AS ({split_rows("ml", "id")}), t AS (
