@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pandas as pd
@@ -33,14 +34,17 @@ IMPLIED = {
     "optgroup": ({"option", "optgroup"}, {"select"}), "body": ({"head"}, {"html"}),
 }
 SCOPE = frozenset("table td th caption html button object".split())
-#: A column is padded up to so many characters; longer cells run over.
-PAD = 40
-#: Deeper elements count as their ancestor at this depth.
-DEPTH = 256
+#: The most columns and rows that a cell spans, and the depth beyond which elements
+#: count as their ancestor's, as in browsers.
+SPAN, ROWS, DEPTH = 1_000, 65_534, 512
+#: Characters of padding that the tables of a page may add, besides four times the page's length;
+#: a table beyond that (a cell of megabytes next to thousands of rows) has its cells unaligned.
+ROOM = 1 << 22
 _TAG = re.compile(r"<(?:!--(?:>|->|.*?(?:--!?>|\Z))|[!?][^>]*(?:>|\Z)|(/?)([A-Za-z][^\s/>]*))", re.DOTALL)
-_ATTRIBUTE = re.compile(r"""[\s/]*([^\s=>/][^\s=>/]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?""")
-_TAG_END = re.compile(r"[\s/]*>")
-_NONE = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.IGNORECASE)
+_BETWEEN = re.compile(r"[\s/]*")
+_ATTRIBUTE = re.compile(r"""([^\s>/][^\s=>/]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?""")
+_DECLARED = re.compile(r"(?:^|;)\s*(display|visibility)\s*:\s*([a-z-]+)", re.IGNORECASE)
+_NUMBER = re.compile(r"[ \t\n\r\f]*\+?([0-9]+)")
 _SPACES = re.compile(r"[ \t\n\r\f]+")
 
 
@@ -50,9 +54,27 @@ class Node:
     def __init__(self, tag: str, attributes: dict[str, str]):
         self.tag, self.attributes, self.children = tag, attributes, []
 
-    def hidden(self) -> bool:
-        a = self.attributes
-        return self.tag in HIDDEN or "hidden" in a or bool(_NONE.search(a.get("style", "")))
+    def style(self, name: str) -> str:
+        """The last value that the style attribute gives a property; empty without one."""
+        given = [v for n, v in _DECLARED.findall(self.attributes.get("style", "")) if n.lower() == name]
+        return given[-1].lower() if given else ""
+
+    def gone(self) -> bool:
+        """Not laid out, whatever its children ask for."""
+        display = self.style("display")
+        return self.tag in HIDDEN or display == "none" or "hidden" in self.attributes and not display
+
+    def seen(self, parent: bool) -> bool:
+        """Visibility is inherited until an element sets its own."""
+        own = self.style("visibility")
+        return own == "visible" if own in ("visible", "hidden", "collapse") else parent
+
+    def span(self, name: str, most: int) -> int:
+        """Columns or rows that a cell spans; 0 (rows only) means all that follow."""
+        given = _NUMBER.match(self.attributes.get(name, "1"))
+        digits = given[1].lstrip("0") if given else "1"
+        n = most if len(digits) > 6 else int(digits or 0)
+        return min(n, most) if n else most if name == "rowspan" else 1
 
 
 def build(source: str) -> Node:
@@ -103,15 +125,12 @@ def build(source: str) -> Node:
         if m[2] is None:
             continue
         tag, attributes = m[2].lower(), {}
-        while at < len(source):
-            end = _TAG_END.match(source, at)
-            if end:
-                at = end.end()
-                break
+        while True:
+            at = _BETWEEN.match(source, at).end()
             a = _ATTRIBUTE.match(source, at)
             if not a:
-                at += 1
-                continue
+                at += 1  # the tag's end, or the page's
+                break
             at = a.end()
             attributes.setdefault(a[1].lower(), entities.unescape(a[2] or a[3] or a[4] or ""))
         if m[1]:
@@ -179,27 +198,55 @@ class Flow:
 
 class Table:
     def __init__(self):
-        self.rows: list[list[tuple[int, list[str]]]] = []
-
-    def lines(self) -> list[str]:
-        """Rows with cells padded to the width of their columns."""
-        widths: list[int] = []
-        for row in self.rows:
-            column = 0
-            for span, cell in row:
-                widths += [0] * (column + span - len(widths))
-                if span == 1:
-                    widths[column] = max(widths[column], min(PAD, max(map(len, cell), default=0)))
-                column += span
+        self.rows: list[list[tuple[int, int, list[str]]]] = []
+        self.sections: set[int] = set()
+
+    def placed(self) -> list[list[tuple[int, int, list[str]]]]:
+        """First and last column (exclusive) of each cell; cells from rows above keep theirs free."""
+        held: dict[int, int] = {}
+        out = []
+        for r, row in enumerate(self.rows):
+            if r in self.sections:
+                held = {}
+            column, cells = 0, []
+            for wide, high, cell in row:
+                while held.get(column, -1) >= r:
+                    column += 1
+                cells.append((column, column + wide, cell))
+                if high > 1:
+                    held.update(dict.fromkeys(range(column, column + wide), r + high - 1))
+                column += wide
+            out.append(cells)
+        # Columns in which no cell begins need no room.
+        starts = sorted({first for cells in out for first, _, _ in cells})
+        return [[(bisect_left(starts, a), bisect_left(starts, b), cell) for a, b, cell in cells] for cells in out]
+
+    def lines(self, room: list[int]) -> list[str]:
+        """Rows with cells padded to the width of their columns, as far as the page has room for padding."""
+        rows = self.placed()
+        n = max((b for row in rows for _, b, _ in row), default=0)
+        widths = [0] * n
+        for row in rows:
+            for first, end, cell in row:
+                if end == first + 1:
+                    widths[first] = max(widths[first], max(map(len, cell), default=0))
+        starts = [0]
+        for w in widths:
+            starts.append(starts[-1] + w + 2)
+        # What follows the last cell that holds a line isn't padded.
+        depths = [max((len(cell) for _, _, cell in row), default=0) for row in rows]
+        padded = sum(d * max((starts[a] for a, _, cell in row if cell), default=0) for row, d in zip(rows, depths))
+        aligned = padded <= room[0]
+        room[0] -= padded if aligned else 0
         out = []
-        for row in self.rows:
-            for k in range(max((len(cell) for _, cell in row), default=0)):
-                parts, column = [], 0
-                for span, cell in row:
-                    width = sum(widths[column : column + span]) + 2 * (span - 1)
-                    parts.append((cell[k] if k < len(cell) else "").ljust(width))
-                    column += span
-                out.append("  ".join(parts).rstrip())
+        for row, depth in zip(rows, depths):
+            for k in range(depth):
+                line = ""
+                for first, _, cell in row:
+                    if k < len(cell):
+                        apart = aligned and (not line or len(line) + 2 <= starts[first])
+                        line = (line.ljust(starts[first]) if apart else line + "  " if line else "") + cell[k]
+                out.append(line.rstrip())
         return out
 
 
@@ -209,11 +256,13 @@ def render(source: str | None) -> str:
         return ""
     flows, tables, lists = [Flow()], [], []
     work: list[tuple[Node | str, bool]] = [(build(source), False)]
-    pre = 0
+    pre, seen, room = 0, [True], [ROOM + 4 * len(source)]
     while work:
         node, leaving = work.pop()
         flow = flows[-1]
         if isinstance(node, str):
+            if not seen[-1]:
+                continue
             if not pre:
                 flow.text(node)
             else:
@@ -226,19 +275,22 @@ def render(source: str | None) -> str:
             continue
         tag = node.tag
         if not leaving:
-            if node.hidden() or tag == "input" and node.attributes.get("type", "").lower() == "hidden":
+            if node.gone() or tag == "input" and node.attributes.get("type", "").lower() == "hidden":
                 continue
             if tag == "br":
                 flow.newline()
                 continue
+            seen.append(node.seen(seen[-1]))
             work.append((node, True))
             work += [(c, False) for c in reversed(node.children)]
-        spaced = tag in SPACED and not (tag in ("ul", "ol", "menu") and lists)
+        else:
+            seen.pop()
+        spaced = tag in SPACED and not (tag in ("ul", "ol", "menu") and len(lists) > leaving)
         if tag in BLOCK:
             flow.end(int(spaced))
         if tag == "table":
             if leaving:
-                done = tables.pop().lines()
+                done = tables.pop().lines(room)
                 for text in done:
                     flow.line(text)
                 flow.end(1)
@@ -246,18 +298,18 @@ def render(source: str | None) -> str:
                 tables.append(Table())
         elif tag == "tr" and tables and not leaving:
             tables[-1].rows.append([])
+        elif tag in ("tbody", "thead", "tfoot") and tables:
+            tables[-1].sections.add(len(tables[-1].rows))
         elif tag in ("td", "th", "caption") and tables:
             if leaving:
                 flow.end()
                 done = flows.pop().lines
                 if tag == "caption":
-                    tables[-1].rows.append([(1, done)] if done else [])
+                    tables[-1].rows.append([(SPAN, 1, done)] if done else [])
                 else:
-                    span = node.attributes.get("colspan", "1").strip()
-                    span = min(max(int(span), 1), 100) if span.isascii() and span.isdigit() and len(span) < 4 else 1
                     if not tables[-1].rows:
                         tables[-1].rows.append([])
-                    tables[-1].rows[-1].append((span, done))
+                    tables[-1].rows[-1].append((node.span("colspan", SPAN), node.span("rowspan", ROWS), done))
             else:
                 flows.append(Flow())
         elif tag in ("ul", "ol", "menu"):
@@ -276,7 +328,7 @@ def render(source: str | None) -> str:
                 if ordered:
                     lists[-1][1] += 1
                 flow.indents.append(" " * len(marker))
-                flow.marker = marker
+                flow.marker = marker if seen[-1] else ""
         elif tag in ("dd", "blockquote"):
             if leaving:
                 flow.indents.pop()
@@ -299,7 +351,9 @@ def rendered(source: Column) -> Column:
 def extract(pages: DataFrame) -> DataFrame:
     """page_id and text of every row of ``pages``.
 
-    Null and empty pages have empty text; broken markup is repaired as far as tags are implied;
+    Null and empty pages have empty text; what ``display`` takes away is left out with all it holds, what
+    ``visibility`` hides only until an element inside is visible again; tables stay aligned up to
+    ``ROOM`` characters of padding a page; broken markup is repaired as far as tags are implied;
     repeated rows come out alike; other columns are ignored; an empty table gives no rows.
     """
     return pages.select("page_id", rendered(F.col("html")).alias("text"))

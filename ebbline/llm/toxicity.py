@@ -18,7 +18,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ebbline.session import discard, written
+from ebbline.llm.bloom import Bloom, bloom_of
+from ebbline.session import bounded, discard, written
 
 #: Words and beginnings that may have weights: those whose share of toxic texts is the least
 #: likely to be chance.
@@ -114,23 +115,28 @@ def _features(batches: Iterator[pd.DataFrame], words: list[str]) -> Iterator[pd.
         yield pd.DataFrame(rows, columns=["toxic", "n", "at", "which"])
 
 
+def noisy_or_gradient(toxic: np.ndarray, balance: np.ndarray, sizes: np.ndarray, sentence: np.ndarray, word: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Slope of the weighted loss -log P(label) of the noisy-or in the weights ``w``, whose last is the bias."""
+    bounds = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    z = w[-1] + np.bincount(sentence, w[word], minlength=len(owner))
+    mass = np.add.reduceat(np.logaddexp(0, z), bounds)  # -log of the chance that no sentence is toxic
+    slope = balance * np.where(toxic == 1, -1 / np.expm1(np.clip(mass, 1e-9, 500)), 1.0)
+    by_sentence = slope[owner] / (1 + np.exp(-z))
+    return np.append(np.bincount(word, by_sentence[sentence], minlength=len(w) - 1), by_sentence.sum())
+
+
 def noisy_or_fit(toxic: np.ndarray, sizes: np.ndarray, sentence: np.ndarray, word: np.ndarray, n_words: int) -> tuple[float, np.ndarray]:
     """Bias and weights that minimise the class-balanced loss of the noisy-or over texts.
 
     ``sizes``: sentences of each text; ``sentence``/``word``: the words present in each sentence.
     """
-    bounds = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    owner = np.repeat(np.arange(len(sizes)), sizes)
     balance = np.where(toxic == 1, 0.5 / max(1, toxic.sum()), 0.5 / max(1, (1 - toxic).sum()))
     w = np.zeros(n_words + 1)
     w[-1] = -5.0
     first, second = np.zeros_like(w), np.zeros_like(w)
     for step in range(1, STEPS + 1):
-        z = w[-1] + np.bincount(sentence, w[word], minlength=len(owner))
-        mass = np.add.reduceat(np.logaddexp(0, z), bounds)  # -log of the chance that no sentence is toxic
-        slope = balance * np.where(toxic == 1, -1 / np.expm1(np.clip(mass, 1e-9, 500)), 1.0)
-        by_sentence = slope[owner] / (1 + np.exp(-z))
-        gradient = np.append(np.bincount(word, by_sentence[sentence], minlength=n_words), by_sentence.sum())
+        gradient = noisy_or_gradient(toxic, balance, sizes, sentence, word, w)
         gradient[:-1] += SHRINK * w[:-1]
         first = 0.9 * first + 0.1 * gradient
         second = 0.99 * second + 0.01 * gradient**2
@@ -140,11 +146,22 @@ def noisy_or_fit(toxic: np.ndarray, sizes: np.ndarray, sentence: np.ndarray, wor
     return float(w[-1]), w[:-1]
 
 
+def _maybe(hashes: Column, known: Bloom) -> Column:
+    """False only where a hash can't be among the known ones."""
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for h in batches:
+            yield pd.Series(known.holds(h.to_numpy().view(np.uint64)))
+
+    return F.pandas_udf(run, "boolean")(hashes)
+
+
 def train(docs: DataFrame, labels: DataFrame) -> Model:
     """Learn from the labelled rows of ``docs`` that aren't held out.
 
     Rows with a null text or a null label teach nothing; a doc_id labelled twice is toxic if
-    either says so; texts that occur repeatedly count once.  Without texts of both classes the
+    either says so; texts that occur repeatedly count once.  Only texts that pass a Bloom filter of the
+    chosen ids are shuffled to meet their labels.  Without texts of both classes the
     model has no words, and its bias follows the class it has seen.
     """
     known = labels.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")).where("toxic is not null")
@@ -156,7 +173,9 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
         return Model(4.0 if sizes.get(1) else -8.0, {})
     share = F.when(F.col("toxic") == 1, F.lit(FIT_TEXTS / sizes[1])).otherwise(F.lit(FIT_TEXTS / sizes[0]))
     chosen = chosen.select("doc_id", "toxic", (F.pmod("h", F.lit(1_000_003)) < share * 1_000_003).alias("fit"))
-    texts = written(docs.where("text is not null").select("doc_id", "text").join(chosen, "doc_id"))
+    likely = docs.where(F.col("text").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", "text")
+    likely = likely.where(_maybe(F.xxhash64("doc_id"), bloom_of(chosen_ids, "h")))
+    texts = written(likely.join(bounded(chosen), "doc_id"))
     counted = texts.select("text", "toxic").mapInPandas(_counts, "word string, toxic int, n bigint").groupBy("word").agg(
         F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("t"),
         F.sum(F.when(F.col("toxic") == 1, 0).otherwise(F.col("n"))).alias("c"),

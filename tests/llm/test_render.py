@@ -48,3 +48,41 @@ def test_every_visible_word_stays(spark):
 def test_tree_implies_rows():
     table = build("<table><td>x").children[0]
     assert [c.tag for c in table.children] == ["tr"]
+
+
+def test_visibility_is_inherited_and_display_is_not():
+    assert render("<i style='visibility:hidden'>a<b style='visibility:visible'>b</b>c</i>d") == "bd"
+    assert render("<div style='visibility:hidden'><ul><li>a<li style='visibility: visible'>b</ul></div>c") == "- b\n\nc"
+    assert render("<div style='display:none'>a<b style='display:block;visibility:visible'>b</b></div>c") == "c"
+    assert render("<p style='display:none;display:block'>a<p hidden>b<p hidden style='display:block'>c") == "a\n\nc"
+
+
+def test_cells_span_rows_and_columns():
+    assert render("<table><tr><td rowspan=2>A<td>b<tr><td>c</table>") == "A  b\n   c"
+    assert render("<table><tr><td>a<td rowspan=3>B<td>c<tr><td>d<td>e<tr><td>f<td>g</table>") == "a  B  c\nd     e\nf     g"
+    assert render("<table><tr><td rowspan=0>A<td>b<tr><td>c<tbody><tr><td>d<td>e</table>") == "A  b\n   c\nd  e"
+    assert render("<table><tr><td colspan=3>wide<td>z<tr><td>a<td>b<td>c<td>d</table>") == "wide     z\na  b  c  d"
+
+
+def test_long_cells_stay_aligned():
+    long = "word " * 30
+    assert render(f"<table><tr><td>{long}<td>x<tr><td>b<td>y</table>") == f"{long.strip()}  x\nb{' ' * 150}y"
+
+
+def test_hostile_tags_take_linear_time():
+    start = time.time()
+    for n in (200_000,):
+        for tag in ("<a " + "/" * n + "=", "<a " + "= " * n, "<a " + " " * n + "b", "<a x" + " " * n + ">", "<a b='" + '"' * n):
+            render(tag)
+    # A wide cell next to many rows, and cells that span all columns: padding is bounded.
+    wide = render(f"<table><tr><td>{'y' * 1_000_000}<td>x{'<tr><td>a<td>b' * 20_000}</table>")
+    assert len(wide) < 3_000_000 and wide.count("a  b") == 20_000
+    spans = render("<table>" + "<tr>" + "<td colspan=1000 rowspan=9>x" * 2_000 + "<tr>" + "<td>y" * 2_000)
+    assert spans.count("x") == spans.count("y") == 2_000
+    assert time.time() - start < 20
+
+
+def test_repeated_rows_come_out_alike(spark):
+    rows = [(1, "<p>x<table><td>a<td>b"), (1, "<p>x<table><td>a<td>b"), (2, None)]
+    got = extract(spark.createDataFrame(rows, "page_id bigint, html string")).collect()
+    assert sorted((r.page_id, r.text) for r in got) == [(1, "x\n\na  b"), (1, "x\n\na  b"), (2, "")]
