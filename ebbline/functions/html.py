@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ebbline.functions.binding import let
 
-_HIDDEN = r"(?is)<(script|style)\b[^>]*>.*?</\1\s*>|<!--.*?-->"
+_HIDDEN = r"(?is)<(script|style)\b[^>]*>.*?(?:</\1\s*>|\z)|<!--.*?(?:-->|\z)"
 
 # Tags that end an open paragraph.
 PARAGRAPH_ENDS = (
@@ -22,7 +22,7 @@ _VALUE = r"""("[^"]*"|'[^']*'|[^\s"'>]+)"""
 
 
 def visible(html: Column) -> Column:
-    """Page source without scripts, styles and comments (their strings may hold fake tags)."""
+    """Page source without scripts, styles and comments (their strings may hold fake tags); open ones reach the end."""
     return F.regexp_replace(html, _HIDDEN, "")
 
 
@@ -77,18 +77,53 @@ def element_texts(html: Column, tag: str) -> Column:
     return F.transform(F.regexp_extract_all(html, F.lit(rf"(?is)<{tag}(?:\s[^>]*)?>(.*?){end}"), 1), inner_text)
 
 
-def selected_text(html: Column, tag: str, attribute: str, value: str) -> Column:
-    """Text of the first ``<tag>`` whose attribute (id, class, ...) holds the word ``value``; NULL without one."""
-    word = rf"""["']?(?:[^"'>]*\s)?{re.escape(value)}(?=[\s"'>/])"""
-    pattern = rf"(?is)<{tag}\s(?:[^>]*?\s)?{attribute}\s*=\s*{word}[^>]*>(.*?)</{tag}\s*>"
-    return inner_text(_none_if_missing(html, pattern, 1))
+def whole_elements(html: Column, tag: str, attribute: str | None = None, value: str | None = None) -> Column:
+    """Source of the first ``<tag>`` that is selected, with all it holds up to its own end tag; NULL without one.
+
+    Selected by the word ``value`` in an attribute (id, class, ...), by the mere attribute, or by the
+    tag alone.  Start and end tags of the same name are matched by a running depth over the page's
+    pieces, so elements of the same kind inside don't end it; an open element reaches the page's end.
+    """
+    start, end = rf"(?is)^<{tag}(?=[\s/>])", rf"(?is)^</{tag}(?=[\s/>])"
+    wanted = start
+    if attribute is not None:
+        word = "" if value is None else rf"""\s*=\s*(?:"(?:[^">]*\s)?{re.escape(value)}(?=[\s"])|'(?:[^'>]*\s)?{re.escape(value)}(?=[\s'])|{re.escape(value)}(?=[\s>]))"""
+        wanted = rf"""(?is)^<{tag}\s(?:(?:[^>"']|"[^"]*"|'[^']*')*?\s)?{attribute}(?=[\s=>/]){word}"""
+    pieces = F.split(html, rf"(?i)(?=</?{tag}[\s/>])")
+
+    def element(pieces: Column) -> Column:
+        first = F.array_position(F.transform(pieces, lambda x: x.rlike(wanted)), True)
+        return F.when(first > 0, let(F.slice(pieces, F.greatest(first, F.lit(1)).cast("int"), F.size(pieces)), inside))
+
+    def inside(pieces: Column) -> Column:
+        begin = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("n"), F.lit(False).alias("done"))
+
+        def step(seen: Column, piece: Column) -> Column:
+            depth = seen["depth"] + F.when(piece.rlike(start), 1).when(piece.rlike(end), -1).otherwise(0)
+            return F.when(seen["done"], seen).otherwise(
+                F.struct(depth.alias("depth"), (seen["n"] + F.when(depth > 0, 1).otherwise(0)).alias("n"), (depth <= 0).alias("done"))
+            )
+
+        taken = F.aggregate(pieces, begin, step)["n"]
+        return F.regexp_replace(F.array_join(F.slice(pieces, F.lit(1), taken), ""), r"""(?s)^<(?:[^>"']|"[^"]*+"|'[^']*+')*+>""", "")
+
+    return let(pieces, element)
+
+
+def selected_text(html: Column, tag: str, attribute: str | None = None, value: str | None = None) -> Column:
+    """Text of the first whole element that ``whole_elements`` selects; NULL without one."""
+    return let(whole_elements(html, tag, attribute, value), inner_text)
 
 
 def list_entries(html: Column) -> Column:
-    """(title, link) of every list item that starts with a link, in page order."""
-    item = rf"(?is)<li(?:\s[^>]*)?>[^<]*(<a\s[^>]*>.*?</a\s*>)"
+    """(title, link) of the first link of every list item that has one, in page order.
+
+    An item ends where it is closed, where the next item begins, or with its list.
+    """
+    items = F.slice(F.split(html, r"(?i)(?=<li[\s>])"), 2, 1 << 30)
+    own = F.transform(items, lambda x: F.regexp_replace(x, r"(?is)</(?:li|ul|ol|menu)\s*>.*", ""))
     return F.transform(
-        F.regexp_extract_all(html, F.lit(item), 1),
+        F.filter(own, lambda x: x.rlike(r"(?is)<a\s[^>]*>.*</a\s*>")),
         lambda x: F.struct(first_element(x, "a").alias("title"), F.get(attribute_values(x, "a", "href"), F.lit(0)).alias("link")),
     )
 

@@ -10,7 +10,7 @@ from ebbline.operators.prices import RETURNS
 from ebbline.plans.features import feature_columns
 from ebbline.plans.model_oracle import boosted_sql
 from ebbline.plans.model_queries import BOOSTED, BOOSTED_BINS
-from ebbline.plans.page_oracle import ARTICLE_LIST_EXTRACT, HTML_EXTRACT
+from ebbline.plans.page_oracle import ARTICLE_LIST_EXTRACT, BODY_BY_SELECTOR, HTML_EXTRACT
 from ebbline.plans.queries import DOC_DOUBTS, DOC_SUBJECT, DOC_TERMS, VIEWER, VIEWER_ARGS
 
 END = "DATE '2001-06-30'"
@@ -549,6 +549,10 @@ ORACLE: dict[str, str] = {
     ),
     "csv_round_trip": "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders",
     "bulk_load_and_append": "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders",
+    "merge_upsert": """SELECT o_orderkey, o_orderdate, CASE WHEN o_orderdate >= DATE '1995-01-01' THEN 'N' ELSE o_orderstatus END AS o_orderstatus,
+        CASE WHEN o_orderdate >= DATE '1995-01-01' THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice FROM orders""",
+    "added_column": """SELECT c_custkey, c_name, n_orders FROM customer
+        LEFT JOIN (SELECT o_custkey, count(*) AS n_orders FROM orders GROUP BY 1) ON c_custkey = o_custkey""",
     "csv_export": "SELECT c_custkey, c_name, c_acctbal FROM customer",
     "relabel_units": """SELECT o_custkey AS code, count(*) AS orders, round(count(*) FILTER (o_orderstatus = 'O') * 100::DOUBLE / count(*), 6) AS openp
         FROM orders GROUP BY 1""",
@@ -591,6 +595,7 @@ ORACLE: dict[str, str] = {
         WHERE vec_id <> 0 ORDER BY similarity DESC, vec_id LIMIT 30""",
     "html_extract": HTML_EXTRACT,
     "article_list_extract": ARTICLE_LIST_EXTRACT,
+    "body_by_selector": BODY_BY_SELECTOR,
     "link_rebuild": f"""SELECT rcp_no, '{VIEWER}?' || """
     + " || '&' || ".join(
         f"'{n}=' || {v}"

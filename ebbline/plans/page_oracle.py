@@ -61,3 +61,5 @@ ARTICLE_LIST_EXTRACT = f"""SELECT page_id, position, {_element("a", "item")} AS
     FROM (SELECT page_id, unnest(items) AS item, (generate_subscripts(items, 1) - 1)::INTEGER AS position FROM (
         SELECT page_id, list_filter(list_transform(string_split(regexp_replace(page, '(?is)<li(?:\\s[^>]*)?>', chr(1), 'g'), chr(1))[2:],
             lambda s: ltrim(s)), lambda s: regexp_matches(s, '(?is)^[^<]*<a\\s[^>]*>.*</a\\s*>')) AS items FROM {_PAGES}))"""
+
+BODY_BY_SELECTOR = f"""SELECT page_id, {_element("article")} AS body, {_element("div")} AS ad FROM {_PAGES}"""

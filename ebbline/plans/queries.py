@@ -15,7 +15,7 @@ from ebbline.operators import articles as A
 from ebbline.operators import asof, audit, finance, macro, news, prices, quality, ranking, reshape, terms
 from ebbline.plans import features, serving
 from ebbline.session import shared_dir
-from ebbline.sources import files
+from ebbline.sources import files, keyed
 from ebbline.sources.domain import Domain
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -281,19 +281,17 @@ def split_halves(d: Domain) -> DataFrame:
 
 @query
 def dq_report(d: Domain) -> DataFrame:
-    companies, links, articles = d.companies(), d.links(), d.articles()
-    return quality.report(
-        quality.duplicate_keys(companies, "companies", "code"),
-        quality.duplicate_keys(articles, "articles", "url"),
-        quality.duplicate_keys(links, "links", "url"),
-        quality.orphans(links, "links", "code", companies),
-        quality.orphans(articles, "articles", "url", links),
-        quality.null_values(articles, "articles", "related"),
-        quality.null_values(companies, "companies", "delisted_date"),
-        *quality.sizes(links, "links", "url"),
-        *quality.sizes(companies, "companies", "code"),
-        quality.positives(companies, "companies", "bankruptcy"),
+    """Keys, references, NULLs and sizes of three tables: four scans, one grouping per shared key."""
+    links = d.links()
+    by_url = quality.key_report(
+        quality.Checked("articles", d.articles(), "url", nulls=["related"]), quality.Checked("links", links, "url"),
+        unique=["articles", "links"], orphans=[("articles", "links")], sizes=["links"],
+    )
+    by_code = quality.key_report(
+        quality.Checked("companies", d.companies(), "code", nulls=["delisted_date"], labels=["bankruptcy"]),
+        quality.Checked("links", links, "code"), unique=["companies"], orphans=[("links", "companies")], sizes=["companies"],
     )
+    return by_url.unionByName(by_code)
 
 
 @query
@@ -319,6 +317,27 @@ def bulk_load_and_append(d: Domain) -> DataFrame:
     return d.spark.read.schema(orders.schema).parquet(target)
 
 
+@query
+def merge_upsert(d: Domain) -> DataFrame:
+    """Orders until 1995 stored by key; those since 1995 merged in: 1995's get new values, later ones are added."""
+    orders = d.raw("orders").select("o_orderkey", "o_orderdate", "o_orderstatus", "o_totalprice")
+    target = _target(d, "merged")
+    keyed.store(orders.where("o_orderdate < '1996-01-01'"), target, "o_orderkey")
+    changes = orders.where("o_orderdate >= '1995-01-01'").withColumns({"o_orderstatus": F.lit("N"), "o_totalprice": F.col("o_totalprice") * 2})
+    keyed.merge(d.spark, target, "o_orderkey", changes)
+    return keyed.read(d.spark, target)
+
+
+@query
+def added_column(d: Domain) -> DataFrame:
+    """A stored customer table gets a column: the orders of each customer; those without any stay NULL."""
+    target = _target(d, "widened")
+    keyed.store(d.raw("customer").select("c_custkey", "c_name"), target, "c_custkey")
+    counts = d.raw("orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("*").alias("n_orders"))
+    keyed.merge(d.spark, target, "c_custkey", counts, insert=False)
+    return keyed.read(d.spark, target)
+
+
 @query
 def csv_export(d: Domain) -> DataFrame:
     """Customers exported as CSV and then more of them appended, read back with typed keys."""
@@ -464,6 +483,13 @@ def html_extract(d: Domain) -> DataFrame:
     )
 
 
+@query
+def body_by_selector(d: Domain) -> DataFrame:
+    """Article body and advertisement of a page, each the text of a whole element."""
+    pages = d.raw("pages").select("page_id", H.visible(F.col("html")).alias("page"))
+    return pages.select("page_id", H.selected_text(F.col("page"), "article").alias("body"), H.selected_text(F.col("page"), "div", "class", "ad").alias("ad"))
+
+
 @query
 def article_list_extract(d: Domain) -> DataFrame:
     """Entries of the lists of a page: title and link, by position."""

@@ -2,12 +2,13 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ebbline.operators import articles, quality, reshape
 from ebbline.plans import serving
-from ebbline.sources import files
+from ebbline.sources import files, keyed
 
 
 def test_codes_keep_leading_zeros_and_measures_become_doubles(spark, tmp_path):
@@ -85,9 +86,43 @@ def test_page_tables_are_found_by_code(spark, tmp_path):
 
 
 def test_report_counts(spark):
-    df = spark.createDataFrame([(1, None), (1, "x"), (2, "y")], "k int, v string")
-    rows = quality.report(
-        quality.duplicate_keys(df, "t", "k"), quality.null_values(df, "t", "v"), quality.orphans(df, "t", "k", spark.range(1, 2).toDF("k")),
-        *quality.sizes(df, "t", "k"),
+    df = spark.createDataFrame([(1, None), (1, "x"), (2, "y"), (None, "z")], "k int, v string")
+    other = spark.createDataFrame([(1, True, None), (5, None, "w")], "k int, good boolean, v string")
+    rows = quality.key_report(
+        quality.Checked("t", df, "k", nulls=["v"]), quality.Checked("d", other, "k", nulls=["v"], labels=["good"]),
+        unique=["t", "d"], orphans=[("t", "d"), ("d", "t")], sizes=["t", "d"],
     )
-    assert [r.n for r in rows.collect()] == [1, 1, 1, 3, 2]
+    assert {(r.check, r.table_name, r.column_name): r.n for r in rows.collect()} == {
+        ("duplicate_keys", "t", "k"): 1, ("duplicate_keys", "d", "k"): 0, ("orphans", "t", "k"): 2, ("orphans", "d", "k"): 1,
+        ("nulls", "t", "v"): 1, ("nulls", "d", "v"): 1, ("positives", "d", "good"): 1,
+        ("rows", "t", "k"): 4, ("distinct", "t", "k"): 2, ("rows", "d", "k"): 2, ("distinct", "d", "k"): 2,
+    }
+    empty = quality.key_report(quality.Checked("t", df.limit(0), "k", nulls=["v"]), unique=["t"], sizes=["t"])
+    assert [r.n for r in empty.collect()] == [0, 0, 0, 0]
+
+
+def test_keyed_table_is_updated_widened_and_extended(spark, tmp_path):
+    target = str(tmp_path / "t")
+    keyed.store(spark.createDataFrame([(1, "a", 1.0), (2, "b", 2.0), (None, "n", 0.0)], "k int, v string, x double"), target, "k", folders=4)
+    changes = spark.createDataFrame([(2, None, True), (3, "c", False)], "k int, v string, seen boolean")
+    for _ in range(2):  # run again: the same table
+        keyed.merge(spark, target, "k", changes, folders=4)
+        got = {(r.k, r.v, r.x, r.seen) for r in keyed.read(spark, target).collect()}
+        assert got == {(1, "a", 1.0, None), (2, None, 2.0, True), (3, "c", None, False), (None, "n", 0.0, None)}
+    keyed.merge(spark, target, "k", spark.createDataFrame([(1, "z"), (9, "y")], "k int, v string"), insert=False, folders=4)
+    got = {(r.k, r.v) for r in keyed.read(spark, target).collect()}
+    assert got == {(1, "z"), (2, None), (3, "c"), (None, "n")}
+    keyed.merge(spark, target, "k", changes.limit(0), folders=4)
+    assert keyed.read(spark, target).count() == 4
+    with pytest.raises(ValueError, match="repeat"):
+        keyed.merge(spark, target, "k", changes.union(changes), folders=4)
+
+
+def test_merge_leaves_other_folders_alone(spark, tmp_path):
+    target = tmp_path / "t"
+    keyed.store(spark.range(1_000).toDF("k").withColumn("v", F.lit(0)), str(target), "k")
+    before = {f: f.stat().st_mtime_ns for f in target.rglob("*.parquet")}
+    keyed.merge(spark, str(target), "k", spark.range(7, 8).toDF("k").withColumn("v", F.lit(1)))
+    after = {f: f.stat().st_mtime_ns for f in target.rglob("*.parquet")}
+    assert len(before.items() & after.items()) == len(before) - 1
+    assert [(r.n, r.s) for r in keyed.read(spark, str(target)).agg(F.count("*").alias("n"), F.sum("v").alias("s")).collect()] == [(1_000, 1)]

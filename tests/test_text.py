@@ -134,3 +134,22 @@ def test_broken_and_quoted_markup(spark):
     assert row.a == ["/a?b=1&c", "/b"] and row.k == "one"
     assert [tuple(e) for e in row.l] == [("one", "/a?b=1&c"), ("two", "/b")]
     assert len(one(spark, "<p>x" * 5_000, H.element_texts(F.col("t"), "p").alias("p")).p) == 5_000
+
+
+def test_whole_elements_by_selector(spark):
+    text = lambda page, *by: one(spark, page, H.selected_text(H.visible(F.col("t")), *by))[0]
+    assert text("<div id=body>a<div>b</div>c</div>d", "div", "id", "body") == "abc"
+    nested = "<div class='x'>0</div><DIV data-a='>' class=\"big art\">a<div><div>b</div></div><divider>c</div>d</div>"
+    assert text(nested, "div", "class", "art") == "abc"
+    assert text("<p id=a>x<script>var a='</p>';", "p", "id", "a") == "x"
+    assert text("<section hidden>a<section>b</section>", "section", "hidden") == "ab"  # open: to the page's end
+    assert text("<div id=bodyguard>a</div>", "div", "id", "body") is None and text("x", "div") is None
+    assert text("<ul><li>1</ul><article>a&amp;b<!-- </article> --> c</article>", "article") == "a&b c"
+    assert text(None, "div") is None and text("", "div") is None
+    assert len(text("<div>" + "<div>x</div>" * 20_000 + "</div>y", "div")) == 20_000
+
+
+def test_list_items_may_start_with_any_element(spark):
+    page = "<ul><li><span>1</span><a href=/a>A</a><a href=/b>B</a></li><li>no link<li><ul><li><b><a href='/c'>C</a></b></ul><a href=/d>D</a>"
+    got = one(spark, page, H.list_entries(F.col("t")).alias("l")).l
+    assert [(e.title, e.link) for e in got] == [("A", "/a"), ("C", "/c")]
