@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ebbline.functions import text as T
 from ebbline.operators.quality import complete_rows
-from ebbline.operators.ranking import before_cut, hash_cut, hashed
+from ebbline.operators.ranking import before_cut, hash_cut, hashed, salted_join
 
 # Look-back of a company's news search.
 LOOKBACK_YEARS = 3
@@ -45,7 +45,8 @@ def in_window(links: DataFrame, articles: DataFrame, windows: DataFrame) -> Data
     """Distinct company articles published inside the company's window."""
     dated = links.select("code", "url").distinct().join(articles.select("url", "published_date"), "url")
     inside = F.col("published_date").between(F.col("start_date"), F.col("end_date"))
-    return dated.join(windows, "code").where(inside).select("code", "url", "published_date")
+    # Salted: one company may be linked with a third of all articles.
+    return salted_join(dated, windows, ["code"], ["url"]).where(inside).select("code", "url", "published_date")
 
 
 def article_tags(articles: DataFrame, links: DataFrame) -> DataFrame:

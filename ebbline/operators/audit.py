@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ebbline.operators.ranking import latest_n, latest_n_skewed, run_heads
+from ebbline.operators.ranking import latest_n, latest_n_skewed, run_heads, salted_join
 
 REPORTS = 3
 FILINGS = 10
@@ -30,7 +30,7 @@ def any_recent_doubt(audits: DataFrame, dim: DataFrame, tie_break: list[str], pu
         seen_by = F.size(F.filter("cuts", lambda cut: F.col("report_date") < cut))
         stretch = F.when(F.col("report_date").isNotNull(), seen_by).otherwise(-1)
     cuts = dim.groupBy("code").agg(F.collect_list("as_of").alias("cuts"))
-    known = audits.join(cuts, "code").withColumn("stretch", stretch).drop("cuts")
+    known = salted_join(audits, cuts, ["code"], tie_break).withColumn("stretch", stretch).drop("cuts")
     if published_only:
         known = known.where(F.col("stretch") != 0)
     newest = latest_n_skewed(known, ["code", "stretch"], order, REPORTS).drop("rn")
@@ -59,11 +59,9 @@ def select_filings(filings: DataFrame, companies: DataFrame, base_url: str) -> D
     Corrections never count.  For delisted companies, filings after the delisting date are
     dropped and of consecutive filings for one period only the newest stays.
     """
-    dated = (
-        filings.where(~F.contains(F.col("rpt_nm"), F.lit(CORRECTION)))
-        .withColumn("filed_on", F.to_date("rcp_dt", "yyyyMMdd"))
-        .join(companies.select("code", "delisted_date"), "code")
-    )
+    counted = filings.where(~F.contains(F.col("rpt_nm"), F.lit(CORRECTION))).withColumn("filed_on", F.to_date("rcp_dt", "yyyyMMdd"))
+    # Salted: one company may hold a third of all filings.
+    dated = salted_join(counted, companies.select("code", "delisted_date"), ["code"], ["rcp_no"])
     # The eight characters before the closing bracket name the period.
     period = F.substring(F.substring(F.col("rpt_nm"), -9, 9), 1, 8)
     active = dated.where(F.col("delisted_date").isNull())

@@ -79,7 +79,8 @@ def _picked(draws: DataFrame, minority: DataFrame, seed: int) -> DataFrame:
     n = minority.agg(F.count("*")).scalar()
     picks = draws.withColumn("_n", n).where("_n > 0")
     picks = picks.withColumn("rank", hash_int(F.col("token"), F.lit(seed), F.lit("base")) % F.col("_n") + 1)
-    return picks.join(minority.select("rank", "id", "features"), "rank").drop("rank", "_n")
+    # Salted: a minority of a few rows is picked again and again.
+    return salted_join(picks, minority.select("rank", "id", "features"), ["rank"], ["token"]).drop("rank", "_n")
 
 
 def _with_synthetic(df: DataFrame, synthetic: DataFrame) -> DataFrame:
