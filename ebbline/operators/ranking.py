@@ -68,9 +68,24 @@ def hash_cut(df: DataFrame, by: Sequence[str], id_col: str, take: Column, cut: s
     """Per group, the hash of the ``take``-th row in hash order (one row per group).
 
     For few groups (classes, splits, folds) of any size.
-    ``take`` may use the group's size ``_total``.  Rows are counted per hash prefix, so only
-    the prefix that holds the boundary is ordered; no group is ever sorted as a whole.  Groups
-    whose ``take`` is zero give no row.
+    ``take`` may use the group's size ``_total``.  Groups whose ``take`` is zero give no row.
+    """
+    return _boundaries(df, by, id_col, [take]).select(*by, F.col("_cut").alias(cut))
+
+
+def hash_cuts(df: DataFrame, by: Sequence[str], id_col: str, takes: Sequence[Column], cuts: str = "cuts") -> DataFrame:
+    """Per group, the hashes of several rows in hash order as an array, found in one walk over the data.
+
+    A row that several ``takes`` number is there several times; a take of zero is left out.
+    """
+    return _boundaries(df, by, id_col, takes).groupBy(*by).agg(F.flatten(F.collect_list(F.array_repeat("_cut", F.col("_times")))).alias(cuts))
+
+
+def _boundaries(df: DataFrame, by: Sequence[str], id_col: str, takes: Sequence[Column]) -> DataFrame:
+    """``by, _cut, _times``: hash and id of the rows that ``takes`` number, and how many of them do.
+
+    Rows are counted per hash prefix, so only the prefixes that hold a boundary are ordered; no
+    group is ever sorted as a whole.
     """
     prefixed = df.select(*by, id_col, "_h", F.substring("_h", 1, BUCKET_DIGITS).alias("_prefix"))
     counts = prefixed.groupBy(*by, "_prefix").agg(F.count("*").alias("_n"))
@@ -82,15 +97,17 @@ def hash_cut(df: DataFrame, by: Sequence[str], id_col: str, take: Column, cut: s
         F.sum("_n").over(up_to).alias("_upto"),
         (F.sum("_n").over(up_to) - F.col("_n")).alias("_before"),
         F.sum("_n").over(whole).alias("_total"),
-    ).withColumn("_take", take.cast("bigint"))
-    boundary = walked.where((F.col("_take") > F.col("_before")) & (F.col("_take") <= F.col("_upto")))
-    # One row per group, and groups are classes, splits or folds: small enough for every task.
-    near = prefixed.join(F.broadcast(boundary.drop("_upto")), [*by, "_prefix"])
+    ).withColumn("_takes", F.array(*[t.cast("bigint") for t in takes]))
+    here = F.filter("_takes", lambda t: (t > F.col("_before")) & (t <= F.col("_upto")))
+    # One row per group and boundary, and groups are classes, splits or folds: small enough for every task.
+    boundary = walked.select(*by, "_prefix", "_before", here.alias("_takes")).where(F.size("_takes") > 0)
+    near = prefixed.join(F.broadcast(boundary), [*by, "_prefix"])
     order = Window.partitionBy(*by, "_prefix").orderBy("_h", id_col)
     return (
         near.withColumn("_rn", F.row_number().over(order) + F.col("_before"))
-        .where(F.col("_rn") == F.col("_take"))
-        .select(*by, F.struct(F.col("_h").alias("h"), F.col(id_col).alias("id")).alias(cut))
+        .withColumn("_times", F.size(F.filter("_takes", lambda t: t == F.col("_rn"))))
+        .where("_times > 0")
+        .select(*by, F.struct(F.col("_h").alias("h"), F.col(id_col).alias("id")).alias("_cut"), "_times")
     )
 
 
@@ -100,6 +117,12 @@ def before_cut(id_col: str, cut: str = "cut") -> Column:
     return F.coalesce(here <= F.col(cut), F.lit(False))
 
 
+def cuts_ahead(id_col: str, cuts: str = "cuts") -> Column:
+    """How many of a group's cuts a row is at or before; 0 where the group has none."""
+    here = F.struct(F.col("_h").alias("h"), F.col(id_col).alias("id"))
+    return F.size(F.filter(F.coalesce(cuts, F.array()), lambda cut: here <= cut))
+
+
 def hash_rank(df: DataFrame, by: Sequence[str], id_col: str, rank: str = "rank") -> DataFrame:
     """Dense 1-based position of every row in its group's hash order.
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ebbline.functions.numbers import hash_int
 from ebbline.operators.neighbours import nearest
-from ebbline.operators.ranking import before_cut, hash_cut, hash_rank, hashed, salted_join
+from ebbline.operators.ranking import before_cut, cuts_ahead, hash_cut, hash_cuts, hash_rank, hashed, salted_join
 from ebbline.session import durable
 
 # Fixed values of the validation scheme.
@@ -46,13 +46,11 @@ def stratified_split(
 
 def stratified_folds(df: DataFrame, id_col: str, label: str, folds: int = 4, seed: int = SEED) -> DataFrame:
     """Add ``fold`` (0-based): equal consecutive stretches of each class in hash order."""
-    base = hashed(df, id_col, F.lit(seed))
-    tagged, fold = base, F.lit(0)
-    for i in range(1, folds):
-        cuts = hash_cut(base.select(label, id_col, "_h"), [label], id_col, F.round(F.col("_total") * i / folds), f"cut{i}")
-        tagged = tagged.join(F.broadcast(cuts), label, "left")
-        fold = fold + (~before_cut(id_col, f"cut{i}")).cast("int")
-    return tagged.withColumn("fold", fold).drop("_h", *[f"cut{i}" for i in range(1, folds)])
+    tagged = hashed(df, id_col, F.lit(seed))
+    takes = [F.round(F.col("_total") * i / folds) for i in range(1, folds)]
+    cuts = hash_cuts(tagged.select(label, id_col, "_h"), [label], id_col, takes)
+    placed = tagged.join(F.broadcast(cuts), label, "left")
+    return placed.withColumn("fold", F.lit(folds - 1) - cuts_ahead(id_col)).drop("_h", "cuts")
 
 
 def _draws(df: DataFrame, seed: int) -> DataFrame:

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ebbline.operators import asof, boosting, metrics, models, quality, sampling, selection, terms
 from ebbline.plans import features, serving
 from ebbline.plans.queries import query, rounded
-from ebbline.session import durable
+from ebbline.session import durable, shared_dir
 from ebbline.sources.domain import Domain
 
 N_CHARS_RULE = 1000
@@ -170,3 +172,15 @@ def similar_words(d: Domain) -> DataFrame:
     known = terms.most_frequent(vectors, counts)
     word = known.select(F.max_by("term", F.struct("n", "term"))).scalar()
     return rounded(terms.nearest_by_cosine(known, "term", "vector", word))
+
+
+@query
+def model_round_trip(d: Domain) -> DataFrame:
+    """A fitted model saved, loaded again and compared with itself on every row."""
+    rows = models.as_vectors(d.ml_frame())
+    fitted = models.fit(durable(d.ml_frame()), models.boosted_trees(maxIter=3))
+    path = f"{shared_dir(d.spark)}/model-{uuid.uuid4().hex}"
+    models.save(fitted, path)
+    ours, theirs = [m.copy({m.predictionCol: f"_label_{i}", m.probabilityCol: f"_p_{i}", m.rawPredictionCol: f"_raw_{i}"}) for i, m in enumerate((fitted, models.load(path)))]
+    both = theirs.transform(ours.transform(rows))
+    return both.select("id", ((F.col("_label_0") == F.col("_label_1")) & (F.col("_p_0") == F.col("_p_1"))).alias("same"))

@@ -706,6 +706,7 @@ ORACLE |= {
 
 ORACLE |= {
     "boosted_scores": boosted_sql(BOOSTED, BOOSTED_BINS),
+    "model_round_trip": f"SELECT id, TRUE AS same FROM ({ML})",
     # What must hold of any scores: who gets one, and that class probabilities are percentages of a whole.
     "score_audit": f"""WITH live AS ({ORACLE["live_features"]}), complete AS (
             SELECT DISTINCT code FROM live WHERE {" AND ".join(f"{c} IS NOT NULL" for c in feature_columns())}

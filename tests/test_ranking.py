@@ -59,3 +59,16 @@ def test_halves(spark):
         parts = {r.part: r["count"] for r in articles.halves(spark.range(n), "id").groupBy("part").count().collect()}
         first = min(n, n // 2 + 1)
         assert parts == {k: v for k, v in ((1, first), (2, n - first)) if v}
+
+
+def test_cuts_of_one_walk_equal_single_cuts(spark):
+    """Tiny groups too, where takes coincide or are zero."""
+    rows = [(g, i) for g, n in (("a", 1), ("b", 2), ("c", 3), ("d", 400)) for i in range(n)]
+    df = ranking.hashed(spark.createDataFrame(rows, "g string, i int"), "i", F.lit(3), F.col("g"))
+    takes = [F.round(F.col("_total") * k / 4) for k in (1, 2, 3)]
+    want = {}
+    for take in takes:
+        for r in ranking.hash_cut(df, ["g"], "i", take).collect():
+            want.setdefault(r.g, []).append(tuple(r.cut))
+    got = {r.g: sorted(map(tuple, r.cuts)) for r in ranking.hash_cuts(df, ["g"], "i", takes).collect()}
+    assert got == {g: sorted(c) for g, c in want.items()}
