@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ebbline.operators import asof, boosting, metrics, models, quality, sampling, selection, terms
+from ebbline.operators import asof, boosting, metrics, models, quality, sampling, selection, subwords, terms
 from ebbline.plans import features, serving
 from ebbline.plans.queries import query, rounded
 from ebbline.session import durable, shared_dir
@@ -155,22 +155,37 @@ def prediction_panel(d: Domain) -> DataFrame:
     return serving.prediction_panel(d.companies(), _scores(d))
 
 
+def _tokens(d: Domain) -> DataFrame:
+    return durable(terms.tokenize(d.raw("documents"), "text", "tokens").select("tokens"))
+
+
+@query
+def skipgram_pairs(d: Domain) -> DataFrame:
+    """Weighted pairs of near terms, from which sub-word vectors are trained."""
+    tokens = _tokens(d)
+    return subwords.pairs(tokens, "tokens", subwords.vocabulary(tokens, "tokens"))
+
+
 @query
 def word_vectors(d: Domain) -> DataFrame:
-    """Skip-gram vectors of the documents' terms: length of each vector."""
-    tokens = durable(terms.tokenize(d.raw("documents"), "text", "tokens").select("tokens"))
-    vectors = terms.vectors_of(terms.train_vectors(tokens, "tokens"))
-    return vectors.select("term", F.size("vector").alias("dimensions"))
+    """Sub-word skip-gram vectors of the documents' terms: length, character runs, and whether the vector is a direction."""
+    tokens = _tokens(d)
+    words = subwords.vocabulary(tokens, "tokens").select("term")
+    vectors = subwords.vectors(subwords.train(tokens, "tokens"), words)
+    return vectors.select(
+        "term", F.size("vector").alias("dimensions"), F.size(subwords.runs(F.col("term"))).alias("n_runs"),
+        (F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x) > 0).alias("has_direction"),
+    )
 
 
 @query
 def similar_words(d: Domain) -> DataFrame:
     """Nearest 30 words of the most frequent one, among the 30,000 most frequent."""
-    tokens = durable(terms.tokenize(d.raw("documents"), "text", "tokens").select("tokens"))
-    counts = terms.term_counts(tokens, "tokens")
-    vectors = terms.vectors_of(terms.train_vectors(tokens, "tokens"))
-    known = terms.most_frequent(vectors, counts)
-    word = known.select(F.max_by("term", F.struct("n", "term"))).scalar()
+    tokens = _tokens(d)
+    counts = subwords.vocabulary(tokens, "tokens")
+    top = durable(counts.orderBy(F.desc("n"), "term").limit(terms.VOCABULARY))
+    known = durable(subwords.vectors(subwords.train(tokens, "tokens"), top))
+    word = top.select(F.max_by("term", F.struct("n", "term"))).scalar()
     return rounded(terms.nearest_by_cosine(known, "term", "vector", word))
 
 

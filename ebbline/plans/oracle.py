@@ -587,8 +587,19 @@ ORACLE: dict[str, str] = {
         {doubt(T.GOING_CONCERN_SUBJECT, T.GOING_CONCERN_DOUBTS)} AS n_opinion_fixed_terms FROM documents""",
     "tokenize": f"""SELECT doc_id, len(tokens)::INTEGER AS n_tokens, array_to_string(tokens, ' ') AS tokens
         FROM (SELECT doc_id, regexp_extract_all(lower(text), '([{WORD}]+)', 1) AS tokens FROM documents)""",
-    "word_vectors": f"""SELECT term, 100::INTEGER AS dimensions FROM (
-            SELECT unnest(regexp_extract_all(lower(text), '([{WORD}]+)', 1)) AS term FROM documents) GROUP BY term HAVING count(*) >= 5""",
+    "skipgram_pairs": f"""WITH t AS (SELECT doc_id, regexp_extract_all(lower(text), '([{WORD}]+)', 1) AS tokens FROM documents),
+        placed AS (SELECT doc_id, unnest(tokens) AS term, generate_subscripts(tokens, 1) AS place FROM t),
+        known AS (SELECT term FROM placed GROUP BY term HAVING count(*) >= 5),
+        met AS (SELECT a.term, b.term AS context, 4 - (b.place - a.place) AS w FROM placed a JOIN placed b
+            ON a.doc_id = b.doc_id AND b.place > a.place AND b.place <= a.place + 3),
+        both_ways AS (SELECT term, context, w FROM met UNION ALL SELECT context, term, w FROM met)
+        SELECT term, context, sum(w)::BIGINT AS weight FROM both_ways
+        WHERE term IN (SELECT term FROM known) AND context IN (SELECT term FROM known) GROUP BY term, context""",
+    "word_vectors": f"""WITH k AS (SELECT '<' || term || '>' AS marked, term FROM (
+                SELECT unnest(regexp_extract_all(lower(text), '([{WORD}]+)', 1)) AS term FROM documents) GROUP BY term HAVING count(*) >= 5)
+        SELECT term, 100::INTEGER AS dimensions, TRUE AS has_direction, (
+            SELECT count(DISTINCT substr(marked, i, n)) FROM (SELECT unnest(range(1, len(marked) + 1)) AS i) a,
+                (SELECT unnest(range(3, 7)) AS n) b WHERE i + n - 1 <= len(marked))::INTEGER AS n_runs FROM k""",
     "similar_terms": f"""SELECT vec_id, round({DOT.format(a="e.embedding", b="q.embedding")}
             / (sqrt({DOT.format(a="e.embedding", b="e.embedding")}) * sqrt({DOT.format(a="q.embedding", b="q.embedding")})), 5) AS similarity
         FROM embeddings e, (SELECT embedding FROM embeddings WHERE vec_id = 0) q
