@@ -9,8 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ebbline.functions import text as T
+from ebbline.operators import bloom
 from ebbline.operators.quality import complete_rows
 from ebbline.operators.ranking import before_cut, hash_cut, hashed, salted_join
+from ebbline.session import written
 
 # Look-back of a company's news search.
 LOOKBACK_YEARS = 3
@@ -75,8 +77,18 @@ def tagged_with(articles: DataFrame, links: DataFrame, code: Column) -> DataFram
 
 
 def pending(wanted: DataFrame, done: DataFrame, key: str) -> DataFrame:
-    """Distinct non-null keys that are wanted but not done."""
-    return wanted.select(key).where(F.col(key).isNotNull()).distinct().join(done.select(key), key, "left_anti")
+    """Distinct non-null keys that are wanted but not done.
+
+    Wanted keys that the done ones' Bloom filter does not hold are pending at once.  The others' filter is
+    probed by the done keys, so of a long history only what may matter is shuffled for the anti join.
+    """
+    keys, past = wanted.select(key).where(F.col(key).isNotNull()).distinct(), done.select(key)
+    n_words = bloom.words_for(past.count())
+    held = written(bloom.probed(keys, key, bloom.key_filter(past, key, n_words), n_words, "_maybe"))
+    maybe = held.where("_maybe").select(key)
+    n_words = bloom.words_for(maybe.count())
+    hits = bloom.probed(past, key, bloom.key_filter(maybe, key, n_words), n_words, "_maybe").where("_maybe")
+    return held.where("NOT _maybe").select(key).unionByName(maybe.join(hits.select(key), key, "left_anti"))
 
 
 def merge_on_common(left: DataFrame, right: DataFrame) -> DataFrame:
