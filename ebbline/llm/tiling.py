@@ -4,9 +4,10 @@ A document leaks a benchmark item if tiles - runs of words the two share, in any
 used twice - cover enough of the item.  Words are what lies between ASCII white space, control
 characters and punctuation, in lower case.
 
-The benchmark is a stated query set: it is cut into blocks of ``BLOCK_CHARS`` characters, and
-every document is held against each block in turn, so what a task holds is bounded however large
-the benchmark is.  Within a block, documents meet items through shared ``LEAST``-word seeds.
+Documents meet items by a join on shared ``LEAST``-word seeds.  A document's seeds pass a Bloom filter
+of all item seeds (at most 16 MB) first, so texts without a leak send next to nothing.  Pairs whose seeds
+could cover enough of the item are tiled, a row per pair; benchmark and documents stay in Spark.
+A text's leaks depend on its words only, so equal texts are tiled once.
 """
 
 from __future__ import annotations
@@ -15,16 +16,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ebbline.llm.bloom import Bloom, bloom_of
+from ebbline.operators.ranking import salted_join
+from ebbline.session import bounded, written
+
 LEAST = 5
 COVERAGE = 0.5
-BLOCK_CHARS = 4_000_000
+#: Words whose hashes a task remembers, and item texts prepared for tiling.
+WORDS, ITEMS = 1 << 17, 256
 _APART = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
-PAIR = "array<struct<item_id: bigint, n_tiles: int, covered: int, item_words: int>>"
+TEXT, ITEM = ("_t1", "_t2"), ("_i1", "_i2")
 
 
 def tokens(text: str | None) -> list[bytes]:
@@ -155,28 +162,90 @@ class Block:
         return found
 
 
-def blocks(benchmark: DataFrame, chars: int = BLOCK_CHARS) -> list[list[tuple[int, str]]]:
-    """The benchmark's items, dealt by hash into blocks of about ``chars`` characters."""
-    known = benchmark.where("text is not null").select(F.col("item_id").cast("bigint").alias("item_id"), "text")
-    total = known.agg(F.sum(F.length("text").cast("bigint"))).first()[0] or 0
-    n = -(-total // chars)
-    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) if n else None
-    return [[tuple(r) for r in known.where(block == i).orderBy("item_id", "text").collect()] for i in range(n)]
-
-
-def leaked(text: Column, benchmark: DataFrame, coverage: float = COVERAGE) -> Column:
-    """Items of ``benchmark`` whose words the tiles of ``text`` cover to at least ``coverage``."""
-
-    def against(items: list[tuple[int, str]]) -> Column:
-        def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            block = Block(items)
-            for texts in batches:
-                yield pd.Series([block.leaks(t, coverage) for t in texts])
-
-        return F.pandas_udf(run, PAIR)(text)
-
-    parts = [against(items) for items in blocks(benchmark)]
-    return F.concat(*parts) if parts else F.array().cast(PAIR)
+class Seeds:
+    """Hashes of the ``LEAST``-word windows of texts; hashes of words met often are remembered."""
+
+    def __init__(self):
+        self.known: dict[bytes, int] = {}
+
+    def of(self, text: str | None) -> np.ndarray:
+        words = tokens(text)
+        if len(words) < LEAST:
+            return np.empty(0, np.uint64)
+        if len(self.known) > WORDS:
+            self.known.clear()
+        known, digest = self.known, xxhash.xxh64_intdigest
+        for w in set(words).difference(known):
+            known[w] = digest(w)
+        return Rolling(np.fromiter((known[w] for w in words), np.uint64, len(words))).windows(LEAST)
+
+
+def _text_key(text: str, salt: str, names: tuple[str, str], *more: str) -> list[Column]:
+    return [F.xxhash64(text, F.lit(f"{salt}{i}"), *more).alias(n) for i, n in enumerate(names)]
+
+
+def _item_seeds(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Per item and seed: in how many places, and the item's words."""
+    seeds = Seeds()
+    for batch in batches:
+        for text, i1, i2 in zip(batch["text"], batch["_i1"], batch["_i2"]):
+            found, n = np.unique(seeds.of(text), return_counts=True)
+            if len(found):
+                yield pd.DataFrame({"seed": found.view(np.int64), "_i1": i1, "_i2": i2, "places": n, "words": int(n.sum()) + LEAST - 1})
+
+
+def _doc_seeds(bloom: Bloom):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seeds = Seeds()
+        for batch in batches:
+            for text, t1, t2 in zip(batch["text"], batch["_t1"], batch["_t2"]):
+                found = seeds.of(text)
+                found = np.unique(found[bloom.holds(found)])
+                if len(found):
+                    yield pd.DataFrame({"seed": found.view(np.int64), "_t1": t1, "_t2": t2})
+
+    return run
+
+
+def _tiled(coverage: float):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kept: dict[str, Block] = {}
+        for batch in batches:
+            rows = []
+            for t1, t2, i1, i2, text, item in batch[[*TEXT, *ITEM, "text", "item"]].itertuples(index=False):
+                if item not in kept:
+                    if len(kept) >= ITEMS:
+                        kept.clear()
+                    kept[item] = Block([(0, item)])
+                rows += [(t1, t2, i1, i2, x["n_tiles"], x["covered"], x["item_words"]) for x in kept[item].leaks(text, coverage)]
+            if rows:
+                yield pd.DataFrame(rows, columns=[*TEXT, *ITEM, "n_tiles", "covered", "item_words"])
+
+    return run
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.where("text IS NOT NULL").select(*_text_key("text", "text", TEXT), "text")
+
+
+def _leaks(docs: DataFrame, benchmark: DataFrame, coverage: float) -> tuple[DataFrame, DataFrame]:
+    """Leaks by text key and item key, and the items with their keys and how often each is given."""
+    given = benchmark.where("text IS NOT NULL").select(F.col("item_id").cast("bigint").alias("item_id"), "text")
+    items = written(given.groupBy("item_id", "text").agg(F.count("*").cast("int").alias("times")).select(*_text_key("text", "item", ITEM, "item_id"), "*"))
+    seeds = written(items.select("text", *ITEM).mapInPandas(_item_seeds, "seed bigint, _i1 bigint, _i2 bigint, places int, words int"))
+    bloom = bloom_of(seeds.select("seed").distinct(), "seed")
+    # Equal texts give equal rows, which are counted as one.
+    sent = _keyed(docs).mapInPandas(_doc_seeds(bloom), "seed bigint, _t1 bigint, _t2 bigint").distinct()
+    # Salted: a third of all texts may share a passage.
+    met = salted_join(sent, seeds, ["seed"], list(TEXT)).groupBy(*TEXT, *ITEM).agg(F.sum("places").alias("places"), F.max("words").alias("words"))
+    enough = F.least(F.col("places") * LEAST, F.col("words")) >= coverage * F.col("words")
+    pairs = written(met.where(enough).select(*TEXT, *ITEM))
+    wanted = written(pairs.select(*TEXT).distinct())
+    # One row of each text that is in a pair; the others are not shuffled where the wanted keys are few.
+    texts = _keyed(docs).join(bounded(wanted), [*TEXT], "left_semi").dropDuplicates([*TEXT])
+    both = pairs.join(items.select(*ITEM, F.col("text").alias("item")), [*ITEM]).join(texts, [*TEXT])
+    schema = "_t1 bigint, _t2 bigint, _i1 bigint, _i2 bigint, n_tiles int, covered int, item_words int"
+    return written(both.select(*TEXT, *ITEM, "text", "item").mapInPandas(_tiled(coverage), schema)), items
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
@@ -186,13 +255,22 @@ def contamination(docs: DataFrame, benchmark: DataFrame, coverage: float = COVER
     be located and are never leaked; repeated documents and items give repeated rows; other
     columns are ignored; empty tables give no rows.
     """
-    found = docs.select("doc_id", leaked(F.col("text"), benchmark, coverage).alias("leaks"))
-    return found.select("doc_id", F.explode("leaks").alias("x")).select(
-        "doc_id", "x.*", F.round(F.col("x.covered") / F.col("x.item_words"), 6).alias("coverage")
-    )
+    found, items = _leaks(docs, benchmark, coverage)
+    named = found.join(items.select(*ITEM, "item_id", "times"), [*ITEM])
+    ids = docs.where("text IS NOT NULL").select("doc_id", *_text_key("text", "text", TEXT))
+    # Keys of leaking texts, written and small, save the shuffle of all ids.
+    leaking = ids.join(bounded(written(found.select(*TEXT).distinct())), [*TEXT], "left_semi")
+    return leaking.join(named, [*TEXT]).select(
+        "doc_id", "item_id", "n_tiles", "covered", "item_words", F.round(F.col("covered") / F.col("item_words"), 6).alias("coverage"),
+        F.explode(F.array_repeat(F.lit(0), F.col("times"))).alias("_again"),
+    ).drop("_again")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
     """``docs`` without those that leak an item; all columns stay as they are."""
-    name = "_" + "_".join(docs.columns)
-    return docs.withColumn(name, leaked(F.col("text"), benchmark, coverage)).where(F.size(name) == 0).drop(name)
+    found = written(_leaks(docs, benchmark, coverage)[0].select(*TEXT).distinct())
+    clash = "_" + "_".join(docs.columns)
+    names = tuple(clash + n for n in TEXT)
+    keyed = docs.select("*", *_text_key("text", "text", names))
+    leaking = found.toDF(*names)
+    return keyed.join(bounded(leaking), list(names), "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -48,8 +48,25 @@ def test_reordered_passages_are_caught(spark):
     assert set(rows) == {(0, 0), (1, 2)}
     assert rows[1, 2].n_tiles == 2 and rows[1, 2].coverage == 1.0
     assert {r.doc_id for r in tiling.drop_contaminated(plain(spark, texts), bench).collect()} == {2, 3, 4, 5}
-    cut = tiling.blocks(bench, chars=100)
-    assert len(cut) > 5 and sorted(x[0] for b in cut for x in b) == [0, 1, 2, 3, 4, 5, 10, 11]
+
+
+def test_join_finds_what_holding_every_text_against_every_item_finds(spark):
+    rng = random.Random(7)
+    words = lambda n: ["v%d" % rng.randrange(40) for _ in range(n)]
+    items = [(i % 9, " ".join(words(rng.choice((3, 6, 12, 30))))) for i in range(30)] + [(0, "a b c d e f g")] * 2
+    texts = []
+    for _ in range(120):
+        part = rng.choice(items)[1].split()
+        at = rng.randrange(len(part))
+        texts.append(" ".join(words(rng.randrange(40)) + part[at:] + words(rng.randrange(9)) + part[:at]))
+    texts += [texts[0], "x " * 9 + "A b, c D e f g", None, ""]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    got = sorted((r.doc_id, r.item_id, r.n_tiles, r.covered, r.item_words) for r in tiling.contamination(plain(spark, texts), bench, 0.4).collect())
+    block = tiling.Block(items)
+    want = sorted((i, x["item_id"], x["n_tiles"], x["covered"], x["item_words"]) for i, t in enumerate(texts) for x in block.leaks(t, 0.4))
+    assert got == want and len(got) > 40
+    left = {r.doc_id for r in tiling.drop_contaminated(plain(spark, texts), bench, 0.4).collect()}
+    assert left == set(range(len(texts))) - {row[0] for row in want}
 
 
 def test_awkward_rows(spark):
