@@ -2,7 +2,8 @@
 
 Texts are scanned for three base kinds and some further formats.  Every candidate's value is
 hashed, and hashes are counted over the whole corpus by distinct repositories and owners: values
-that several owners have are copied examples, values of one owner are live-looking credentials.
+that several owners have, in several repositories, are copied examples; values of one owner, or of one
+repository that several owners share, are live-looking credentials.
 Base spans are always reported, spans of the further formats only if they look live.
 """
 
@@ -11,6 +12,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -18,10 +20,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ebbline.session import written
+from ebbline.session import bounded, written
 
-#: A value that so many owners have is a copied example.
+#: A value that so many owners have, in as many repositories, is a copied example.
 COPIED = 3
+#: Rows from which on a value is judged by a join of its own; a corpus of n rows has at most n / HOT such values.
+HOT = 10_000
 #: Bits a character that a live-looking value has at least.
 ENTROPY = 3.0
 KINDS = ("assign", "access", "hex", "github", "google", "jwt", "token")
@@ -60,14 +64,24 @@ def base_spans(text: str) -> list[tuple[int, int, int, str]]:
 def more_spans(text: str, base: list[tuple[int, int, int, str]]) -> list[tuple[int, int, int, str]]:
     """Spans of the further formats that no base span and no earlier format overlaps."""
     out: list[tuple[int, int, int, str]] = []
-    taken = [(a, b) for a, _, b, _ in base]
+    # Taken stretches, disjoint and in order.
+    starts: list[int] = []
+    ends: list[int] = []
+    for a, _, b, _ in base:
+        if ends and a <= ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
     for name, pattern in _MORE.items():
         for m in pattern.finditer(text):
             if name == "token" and not _MIXED.match(m[0]):
                 continue
-            if all(m.end() <= a or b <= m.start() for a, b in taken):
+            i = bisect_right(starts, m.start())
+            if (i == 0 or ends[i - 1] <= m.start()) and (i == len(starts) or m.end() <= starts[i]):
                 out.append((m.start(), KINDS.index(name), m.end(), m[0]))
-                taken.append(m.span())
+                starts.insert(i, m.start())
+                ends.insert(i, m.end())
     return out
 
 
@@ -90,7 +104,7 @@ def _scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.concat([batch.drop(columns="text").reset_index(drop=True), out], axis=1)
 
 
-def scan(docs: DataFrame, repository: str = "source", owner: str = "source") -> DataFrame:
+def scan(docs: DataFrame, repository: str = "doc_id", owner: str = "source") -> DataFrame:
     """Candidates of every row: ``row`` (hash of the whole row's inputs), doc_id, repository, owner, counts, found."""
     source = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col(repository).cast("string"), F.lit("")).alias("repository"),
@@ -107,20 +121,33 @@ def ownership(scanned: DataFrame) -> DataFrame:
     counted = each.groupBy("hash", "repository", "owner").agg(F.count("*").alias("n"))
     return counted.groupBy("hash").agg(
         F.sum("n").alias("n_rows"), F.countDistinct("repository").alias("n_repositories"), F.countDistinct("owner").alias("n_owners")
-    ).withColumn("copied", F.col("n_owners") >= COPIED)
+    ).withColumn("copied", (F.col("n_owners") >= COPIED) & (F.col("n_repositories") >= COPIED))
 
 
-def secrets(docs: DataFrame, repository: str = "source", owner: str = "source") -> DataFrame:
+def _judged(each: DataFrame, known: DataFrame, hot: int = HOT) -> DataFrame:
+    """``each`` candidate with its value's verdict.
+
+    Widely copied values, hot keys by nature, are few: they meet a table of their own, whose size is
+    checked, so their rows stay where they are.  The others have fewer than ``hot`` rows a key.
+    """
+    common = written(known.where(F.col("n_rows") >= hot).select("hash", F.col("copied").alias("_common")))
+    told = each.join(bounded(common), "hash", "left")
+    frequent = told.where(F.col("_common").isNotNull()).withColumnRenamed("_common", "copied")
+    rare = told.where(F.col("_common").isNull()).drop("_common").join(known.where(F.col("n_rows") < hot).select("hash", "copied"), "hash")
+    return frequent.unionByName(rare)
+
+
+def secrets(docs: DataFrame, repository: str = "doc_id", owner: str = "source") -> DataFrame:
     """Every row of ``docs`` with its secrets.
 
     Returns doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live and n_copied (candidates
-    of either sort).  Null texts are empty texts, null owners are one owner; repeated rows come out
+    of either sort).  Null texts are empty texts, null owners are one owner and null repositories one repository; repeated rows come out
     alike; other columns are ignored; an empty table gives no rows.
     """
     scanned = written(scan(docs, repository, owner))
-    known = ownership(scanned)
+    known = written(ownership(scanned).select("hash", "n_rows", "copied"))
     each = scanned.where(F.size("found") > 0).select("row", F.explode("found").alias("x")).select("row", "x.*").distinct()
-    judged = each.join(known.select("hash", "copied"), "hash").withColumn("live", ~F.col("copied") & F.col("random"))
+    judged = _judged(each, known).withColumn("live", ~F.col("copied") & F.col("random"))
     shown = F.when((F.col("kind") < 3) | F.col("live"), F.struct("start", "kind", "end"))
     names = F.array(*[F.lit(k) for k in KINDS])
     by_row = judged.groupBy("row").agg(

@@ -73,6 +73,44 @@ def test_ownership_separates_copies_from_live_values(spark):
     assert got[9].spans == "token:5:29" and got[9].n_live == 1 and got[10].spans == "token:6:30"
 
 
+def test_owners_and_repositories_both_count(spark):
+    value = "Zx9Kq2Lm8Np4Rt6Vw3Yb7Hd5"
+    rows = [(i, f"see {value} {i}", "en", f"s{i}", 0) for i in range(4)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    assert {r.n_live for r in secrets.secrets(docs, repository="lang").collect()} == {1}  # one repository
+    assert {r.n_live for r in secrets.secrets(docs, owner="lang").collect()} == {1}  # one owner
+    assert {r.n_copied for r in secrets.secrets(docs).collect()} == {1}
+
+
+def test_hot_values_get_the_same_verdicts(spark):
+    rng = random.Random(8)
+    values = ["".join(rng.choices(string.ascii_letters + string.digits, k=30)) + "aB3" for _ in range(6)]
+    rows = [(i, f"{rng.choice(values[: 1 + i % 6])} and {rng.choice(values)}", "en", f"s{i % (1 + i % 5)}", 0) for i in range(60)]
+    scanned = secrets.scan(spark.createDataFrame(rows, SCHEMA))
+    known = secrets.ownership(scanned)
+    each = scanned.selectExpr("row", "explode(found) AS x").selectExpr("row", "x.hash AS hash")
+    verdicts = [sorted(secrets._judged(each, known, hot).select("row", "hash", "copied").collect()) for hot in (1, 20, 10_000)]
+    assert verdicts[0] == verdicts[1] == verdicts[2] and len(verdicts[0]) == 120
+
+
+def test_further_spans_leave_taken_ones_alone():
+    texts = made(2) + ["token=" + v + " " + v for v in ("ghp_" + "a1B2" * 12, "AIza" + "x9Y" * 11 + "zz")] + ["aB3" * 9 + " "] * 3
+    found = 0
+    for text in (*texts, " ".join(texts)):
+        base = secrets.base_spans(text)
+        more = secrets.more_spans(text, base)
+        taken = [(a, b) for a, _, b, _ in base]
+        want = []
+        for name, pattern in secrets._MORE.items():
+            for m in pattern.finditer(text):
+                if (name != "token" or secrets._MIXED.match(m[0])) and all(m.end() <= a or b <= m.start() for a, b in taken):
+                    want.append((m.start(), secrets.KINDS.index(name), m.end(), m[0]))
+                    taken.append(m.span())
+        assert more == want
+        found += len(more)
+    assert found > 5
+
+
 def test_awkward_rows(spark):
     rows = secrets.secrets(awkward(spark)).collect()
     assert len(rows) == 11 and {r.spans for r in rows} == {""}
