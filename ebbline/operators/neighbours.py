@@ -22,6 +22,8 @@ BLOCK_ROWS = 20_000
 QUERY_ROWS = 20_000
 CHUNK = 512
 VISIT_ROWS = 50_000
+#: Distances that one step in a task holds: to pivots (they stay in the processor's cache), to candidates.
+PLACED, SCREENED = 1 << 17, 1 << 21
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
@@ -36,6 +38,39 @@ def squared_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
+def closest_rows(queries: np.ndarray, points: np.ndarray, take: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each query the places of its ``take`` nearest points, ties to earlier ones, and the squared distances.
+
+    Products of matrices give bounds of every distance; only points whose lower bound does not exceed the
+    ``take``-th upper bound are measured as ``squared_distances`` does.  What has no bound (NaN, infinite) is measured.
+    """
+    error = np.finfo(np.float64).eps * (4 * queries.shape[1] + 16)
+    tiny = np.finfo(np.float64).tiny * (4 * queries.shape[1] + 16)
+    places, distances = [], []
+    with np.errstate(all="ignore"):
+        of_points = (points**2).sum(axis=1)
+        step = max(1, min(CHUNK, SCREENED // len(points)))
+        for start in range(0, len(queries), step):
+            part = queries[start : start + step]
+            of_part = (part**2).sum(axis=1)
+            upper = part @ points.T
+            upper *= -2
+            upper += (of_points * (1 + error))[None]
+            upper += (of_part * (1 + error) + tiny)[:, None]
+            last = np.partition(upper, take - 1, axis=1)[:, take - 1]
+            upper -= (2 * error * of_points)[None]
+            row, place = np.nonzero(~(upper > (last + 2 * error * of_part + 2 * tiny)[:, None]))
+            d = np.zeros(len(row))
+            for j in range(points.shape[1]):
+                d += (part[row, j] - points[place, j]) ** 2
+            order = np.lexsort((place, d, row))
+            row, place, d = row[order], place[order], d[order]
+            found = np.searchsorted(row, np.arange(len(part)))[:, None] + np.arange(take)
+            places.append(place[found])
+            distances.append(d[found])
+    return np.concatenate(places), np.concatenate(distances)
+
+
 def distinct_copies(rows: DataFrame, k: int) -> DataFrame:
     """At most ``k + 1`` rows, those with the smallest ids, of every group of equal vectors.
 
@@ -63,16 +98,19 @@ def nearest(queries: DataFrame, candidates: DataFrame, k: int, cells: int | None
     if size == 0:
         empty = "id bigint, rank int, neighbour bigint, distance2 double"
         return queries.sparkSession.createDataFrame([], empty)
-    wanted = cells or max(1, min(1024, round(math.sqrt(size) / 4)))
+    # A visit carries its vector along, so cells are no smaller than a block; screening one is cheap.
+    wanted = cells or max(1, min(1024, size // BLOCK_ROWS))
     pivots = _pivots(pool, wanted)
     need = k + 1
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        step = max(1, PLACED // len(pivots))
         for pdf in batches:
-            if len(pdf):
-                d = np.sqrt(squared_distances(_matrix(pdf["features"]), pivots))
+            for start in range(0, len(pdf), step):
+                part = pdf.iloc[start : start + step]
+                d = np.sqrt(squared_distances(_matrix(part["features"]), pivots))
                 cell = d.argmin(axis=1)
-                yield pdf.assign(cell=cell.astype("int32"), reach=d[np.arange(len(d)), cell])
+                yield part.assign(cell=cell.astype("int32"), reach=d[np.arange(len(d)), cell])
 
     placed = pool.mapInPandas(place, "id bigint, features array<double>, cell int, reach double")
     # Per cell: rows, radius and the distances of its innermost rows (cells x need values).
@@ -137,21 +175,14 @@ def nearest(queries: DataFrame, candidates: DataFrame, k: int, cells: int | None
     )
 
     def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(left) and len(right):
-            right = right.sort_values("id")
-            points, ids = _matrix(right["features"]), right["id"].to_numpy()
-            take = min(need, len(ids))
-            for start in range(0, len(left), CHUNK):
-                part = left.iloc[start : start + CHUNK]
-                d = squared_distances(_matrix(part["features"]), points)
-                order = np.argsort(d, axis=1, kind="stable")[:, :take]  # ids ascend, so ties go to the smaller id
-                rows = np.repeat(part["id"].to_numpy(), take)
-                out.append(
-                    pd.DataFrame({"qid": rows, "neighbour": ids[order].ravel(), "distance2": np.take_along_axis(d, order, 1).ravel()})
-                )
-        schema = {"qid": "int64", "neighbour": "int64", "distance2": "float64"}
-        return pd.concat(out) if out else pd.DataFrame({c: pd.Series(dtype=t) for c, t in schema.items()})
+        if not (len(left) and len(right)):
+            schema = {"qid": "int64", "neighbour": "int64", "distance2": "float64"}
+            return pd.DataFrame({c: pd.Series(dtype=t) for c, t in schema.items()})
+        right = right.sort_values("id")  # ids ascend, so ties go to the smaller id
+        take = min(need, len(right))
+        place, d = closest_rows(_matrix(left["features"]), _matrix(right["features"]), take)
+        ids = right["id"].to_numpy()
+        return pd.DataFrame({"qid": np.repeat(left["id"].to_numpy(), take), "neighbour": ids[place].ravel(), "distance2": d.ravel()})
 
     keys = ["cell", "block", "part"]
     found = asks.groupBy(*keys).cogroup(offers.groupBy(*keys)).applyInPandas(best, "qid bigint, neighbour bigint, distance2 double")

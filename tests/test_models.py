@@ -1,6 +1,7 @@
 """Resampling, neighbours, metrics and models."""
 
 import math
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -42,6 +43,31 @@ def test_neighbours_equal_brute_force(spark, monkeypatch, cells):
     assert found(neighbours.nearest(some, df, 4, cells)) == brute(points, range(0, len(points), 7), 4)
 
 
+@pytest.mark.parametrize("scale", [1.0, 1e-170, 1e200])
+def test_screened_rows_equal_measured_ones(monkeypatch, scale):
+    """Ties, near ties, tiny and overflowing values, NaN: the same places and bits as measuring everything."""
+    monkeypatch.setattr(neighbours, "SCREENED", 700)
+    rng = np.random.default_rng(5)
+    points = np.concatenate([rng.integers(0, 3, (60, 4)), rng.normal(1, 1e-9, (40, 4)), [[np.nan, 0, 0, 0], [np.inf, 0, 0, 0]]]) * scale
+    queries = points[::3]
+    with np.errstate(all="ignore"):
+        d = neighbours.squared_distances(queries, points)
+    order = np.argsort(d, axis=1, kind="stable")[:, :6]
+    place, distance = neighbours.closest_rows(queries, points, 6)
+    assert (place == order).all()
+    np.testing.assert_array_equal(distance, np.take_along_axis(d, order, 1))
+
+
+def test_a_full_block_is_searched_in_little_memory():
+    rng = np.random.default_rng(6)
+    points = rng.normal(size=(neighbours.BLOCK_ROWS, 16))
+    tracemalloc.start()
+    neighbours.closest_rows(points[:600], points, 6)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 100e6  # distances of 512 rows to a block, their differences and their order took 330 MB
+
+
 def test_neighbours_of_tiny_sets(spark):
     df = vectors(spark, [(0.0,), (1.0,)])
     assert found(neighbours.nearest(df, df, 5)) == {0: [1], 1: [0]}
