@@ -13,6 +13,7 @@ of small lattices, one per word, which are built once and shared.
 from __future__ import annotations
 
 import functools
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -105,6 +106,7 @@ def vocabulary(path: str, alpha: float = ALPHA) -> Vocabulary:
 class Lattices:
     """Filtered lattices of some units, one row per place and one column per piece length.
 
+    Rows of the units' j-th places lie together, longer units first, so a step reads and writes slices.
     ``cum``: chances of the arcs of up to so many characters that end at a place; ``piece``: their
     pieces, or -1 - the character where only its bytes will do.
     """
@@ -113,12 +115,18 @@ class Lattices:
         chars = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
         self.sizes = np.fromiter(map(len, units), np.int64, len(units))
         starts = np.cumsum(self.sizes) - self.sizes
-        self.base = starts + np.arange(len(units))  # row of a unit's start
+        self.rank = np.empty(len(units), np.int64)
+        self.rank[np.argsort(-self.sizes, kind="stable")] = np.arange(len(units))
+        # Units that have a j-th place, and the row of the first one's.
+        self.width = len(units) - np.cumsum(np.bincount(self.sizes + 1))
+        self.width = np.concatenate([[len(units)], self.width[1:-1]]) if len(units) else np.zeros(1, np.int64)
+        self.first = np.cumsum(self.width) - self.width
         places = len(chars) + len(units)
         weight = np.zeros((places, v.longest), np.float32)
         self.piece = np.zeros((places, v.longest), np.int32)
-        row = np.arange(len(chars)) + np.repeat(np.arange(len(units)), self.sizes)  # row before a character
-        left = np.repeat(starts + self.sizes, self.sizes) - np.arange(len(chars))
+        unit = np.repeat(self.rank, self.sizes)
+        before = np.arange(len(chars)) - np.repeat(starts, self.sizes)  # a character's place
+        left = np.repeat(self.sizes, self.sizes) - before
         live, h = np.arange(len(chars)), np.zeros(len(chars), np.uint64)
         for n in range(1, v.longest + 1):
             keep = left[live] >= n
@@ -126,51 +134,53 @@ class Lattices:
             h = h * _A + (chars[live + n - 1] + 1).astype(np.uint64) * _C
             found = v.lookup(h)
             whole = found >= 0
-            weight[row[live[whole]] + n, n - 1] = v.weights[found[whole]]
-            self.piece[row[live[whole]] + n, n - 1] = found[whole]
+            at = live[whole]
+            row = self.first[before[at] + n] + unit[at]
+            weight[row, n - 1] = v.weights[found[whole]]
+            self.piece[row, n - 1] = found[whole]
             if n == 1:
                 alone = live[~whole]
                 size = 1 + (chars[alone] >= 0x80) + (chars[alone] >= 0x800) + (chars[alone] >= 0x10000)
-                weight[row[alone] + 1, 0] = v.byte_weight**size
-                self.piece[row[alone] + 1, 0] = -1 - chars[alone]
+                row = self.first[before[alone] + 1] + unit[alone]
+                weight[row, 0] = v.byte_weight**size
+                self.piece[row, 0] = -1 - chars[alone]
             live, h = live[found > -2], h[found > -2]
         self._filter(weight)
 
     def _filter(self, weight: np.ndarray) -> None:
         longest = weight.shape[1]
         mass = np.zeros(len(weight))  # weight of all paths from the unit's start
-        mass[self.base] = 1.0
+        mass[: self.width[0]] = 1.0
         self.cum = np.full(weight.shape, 2.0, np.float32)
-        order = np.argsort(-self.sizes, kind="stable")
-        base, sizes = self.base[order], self.sizes[order]
-        for j in range(1, sizes[0] + 1 if len(sizes) else 1):
-            rows = base[: np.searchsorted(-sizes, -j, "right")] + j
-            back = np.arange(1, min(j, longest) + 1)
-            arcs = mass[rows[:, None] - back] * weight[rows, : len(back)]
-            sums = np.cumsum(arcs, axis=1)
-            total = sums[:, -1:]
-            mass[rows] = total[:, 0]
-            share = sums / total
+        units = np.arange(self.width[0])[:, None]
+        for j in range(1, len(self.width)):
+            rows = slice(self.first[j], self.first[j] + self.width[j])
+            back = self.first[j - np.arange(1, min(j, longest) + 1)]
+            arcs = mass[units[: self.width[j]] + back]
+            arcs *= weight[rows, : len(back)]
+            sums = np.cumsum(arcs, axis=1, out=arcs)
+            mass[rows] = total = sums[:, -1].copy()
+            share = np.divide(sums, total[:, None], out=sums)
             share[share >= 1 - 1e-6] = 2.0
             self.cum[rows, : len(back)] = share
-            low = rows[total[:, 0] < 1e-150]
+            low = np.flatnonzero(total < 1e-150)
             if len(low):  # only ratios of near places matter
                 for k in range(min(j, longest) + 1):
-                    mass[low - k] *= 1e150
+                    mass[self.first[j - k] + low] *= 1e150
 
     def draw(self, which: np.ndarray, seeds: np.ndarray, v: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the units ``which`` in order, and how many each has; a seed for each unit."""
         live, steps, counts = np.arange(len(which)), [], np.zeros(len(which), np.int64)
-        base = self.base[which]
-        row = base + self.sizes[which]
+        unit, place = self.rank[which], self.sizes[which]
         while len(live):
             u = _noise(seeds[live] + _C * counts[live].astype(np.uint64))
-            n = (u[:, None] >= self.cum[row]).sum(axis=1)
+            row = self.first[place] + unit
+            n = (u[:, None] < self.cum[row]).argmax(axis=1)  # chances ascend and end beyond 1
             steps.append((live, self.piece[row, n]))
             counts[live] += 1
-            row = row - n - 1
-            more = row > base[live]
-            live, row = live[more], row[more]
+            place = place - n - 1
+            more = place > 0
+            live, place, unit = live[more], place[more], unit[more]
         last = np.cumsum(counts)
         ids = np.empty(last[-1] if len(last) else 0, np.int32)
         for k, (places, pieces) in enumerate(steps):
@@ -199,8 +209,8 @@ def encode_batch(texts: list[str | None], keys: np.ndarray, v: Vocabulary) -> li
 
     def flush() -> None:
         if owners:
-            seen: dict[str, int] = {}
-            which = np.array([seen.setdefault(u, len(seen)) for u in units])
+            seen = dict(zip(dict.fromkeys(units), itertools.count()))
+            which = np.fromiter(map(seen.__getitem__, units), np.int64, len(units))
             ids, counts = Lattices(list(seen), v).draw(which, np.concatenate(seeds), v)
             bounds = np.concatenate([[0], np.cumsum(counts)])
             at = 0

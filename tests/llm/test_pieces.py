@@ -54,3 +54,23 @@ def test_long_and_odd_texts():
     for text in ("", " ", "\n", "  a \n\n ▁b  ", "a\tb\r\n日本語 😀 ▁▁ ", "é" * 3_000, " " * 500 + "z", LONG, "\x00\x7f"):
         ids = pieces.encode_batch([text], np.array([5], np.uint64), v)[0]
         assert v.decode(ids.tolist()) == text
+
+
+def test_places_lie_together_and_are_drawn_from_their_own_chances():
+    """Longer units first at every place; each row's chances are those of the paths that end there."""
+    v = pieces.vocabulary(PATH)
+    units = [" b", " banking", " ab\U0001f9ff", "\n", " lend"]
+    made = pieces.Lattices(units, v)
+    assert made.width.tolist() == [sum(len(u) >= j for u in units) for j in range(max(map(len, units)) + 1)]
+    known = {r.decode(): i for i, r in enumerate(v.raw) if r and i not in set(v.of_byte.tolist())}
+    for unit, rank in zip(units, made.rank):
+        for j in range(1, len(unit) + 1):
+            ends = [0.0] * v.longest
+            for n in range(1, min(j, v.longest) + 1):
+                piece = unit[j - n : j]
+                byte = v.byte_weight ** len(piece.encode()) if n == 1 else 0.0
+                weight = v.weights[known[piece]] if piece in known else byte
+                ends[n - 1] = weight * sum(w for _, w in segmentations(unit[: j - n], v, known))
+            want = np.cumsum(ends) / sum(ends)
+            want[want >= 1 - 1e-6] = 2.0
+            np.testing.assert_allclose(made.cum[made.first[j] + rank], want, rtol=1e-5)
