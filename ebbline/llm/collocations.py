@@ -40,6 +40,8 @@ LEAST, LONGEST, TOP = 100, 5, 2_000
 SAMPLE, LOWERED = 16, 0.5
 #: Bytes of text that a task works on at once, and phrases it adds up before it passes them on.
 PART, HELD = 4 << 20, 200_000
+#: Tasks of the last pass, as a multiple of the cores.
+TASKS = 2
 SEED = 11
 #: The low bits of a hash hold the phrase's number of words.
 SIZE_BITS = 7
@@ -174,7 +176,10 @@ def _counted_texts(texts: DataFrame, longest: int, found: Bloom) -> DataFrame:
         yield rows(counts)
 
     size = F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " ")))
-    found_rows = texts.mapInPandas(count, "lang string, phrase string, n bigint").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
+    # Nearly every task meets nearly every frequent phrase, so tasks are as many as cores keep busy and no
+    # more: partial counts grow with the phrases then, not with phrases times tasks.
+    few = texts.coalesce(TASKS * texts.sparkSession.sparkContext.defaultParallelism)
+    found_rows = few.mapInPandas(count, "lang string, phrase string, n bigint").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
     return found_rows.select("lang", size.alias("size"), "phrase", "n")
 
 

@@ -73,6 +73,18 @@ def test_same_as_plain_counts_whatever_the_sample(spark, sample):
     assert result(spark.createDataFrame(rows, SCHEMA), least=20, sample=sample) == brute([(r[2], r[1]) for r in rows], 20)
 
 
+def test_last_pass_has_tasks_by_cores_not_by_files(spark):
+    """Each task passes on nearly all frequent phrases, so more tasks mean more partial counts."""
+    docs = spark.createDataFrame(texts(3, 100), SCHEMA).repartition(200)
+    held = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.col("text").cast("binary").alias("text"))
+    found = bloom.bloom_of(spark.range(1).select(F.col("id").alias("h")), "h")
+    counted = collocations._counted_texts(held, 3, found)
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert f"Coalesce {collocations.TASKS * spark.sparkContext.defaultParallelism}" in plan
+    words = {r.lang: r.n for r in counted.where("size = 0").collect()}
+    assert sum(words.values()) == sum(len(w) for t in texts(3, 100) for w in [[x for x in collocations.piece_words(t[1].encode()) if x != b"\n"]])
+
+
 def test_a_full_filter_changes_nothing(spark, monkeypatch):
     monkeypatch.setattr(bloom, "MOST_BITS", 64)
     rows = texts(9, 150)
