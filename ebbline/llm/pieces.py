@@ -83,14 +83,16 @@ class Vocabulary:
     def lookup(self, h: np.ndarray) -> np.ndarray:
         """For hashes of strings: the piece, -1 for a mere beginning of one, -2 for neither."""
         at = (h >> np.uint64(64 - _SLOTS)).astype(np.int64)
-        out = np.full(len(h), -2, np.int32)
-        open_ = np.arange(len(h))
+        seen = self.hashes[at]
+        hit = seen == h
+        out = np.where(hit, self.found[at], np.int32(-2))
+        open_ = np.flatnonzero(~hit & (seen != 0))  # few: their place holds another string
         while len(open_):
+            at[open_] = (at[open_] + 1) % len(self.hashes)
             seen = self.hashes[at[open_]]
             hit = seen == h[open_]
             out[open_[hit]] = self.found[at[open_[hit]]]
             open_ = open_[~hit & (seen != 0)]
-            at[open_] = (at[open_] + 1) % len(self.hashes)
         return out
 
     def decode(self, ids: list[int]) -> str:
@@ -127,24 +129,24 @@ class Lattices:
         unit = np.repeat(self.rank, self.sizes)
         before = np.arange(len(chars)) - np.repeat(starts, self.sizes)  # a character's place
         left = np.repeat(self.sizes, self.sizes) - before
+        codes = (chars + 1).astype(np.uint64) * _C
         live, h = np.arange(len(chars)), np.zeros(len(chars), np.uint64)
         for n in range(1, v.longest + 1):
-            keep = left[live] >= n
-            live, h = live[keep], h[keep]
-            h = h * _A + (chars[live + n - 1] + 1).astype(np.uint64) * _C
+            h = h * _A + codes[live + (n - 1)]
             found = v.lookup(h)
             whole = found >= 0
-            at = live[whole]
+            at, pieces = live[whole], found[whole]
             row = self.first[before[at] + n] + unit[at]
-            weight[row, n - 1] = v.weights[found[whole]]
-            self.piece[row, n - 1] = found[whole]
+            weight[row, n - 1] = v.weights[pieces]
+            self.piece[row, n - 1] = pieces
             if n == 1:
                 alone = live[~whole]
                 size = 1 + (chars[alone] >= 0x80) + (chars[alone] >= 0x800) + (chars[alone] >= 0x10000)
                 row = self.first[before[alone] + 1] + unit[alone]
                 weight[row, 0] = v.byte_weight**size
                 self.piece[row, 0] = -1 - chars[alone]
-            live, h = live[found > -2], h[found > -2]
+            more = (found > -2) & (left[live] > n)
+            live, h = live[more], h[more]
         self._filter(weight)
 
     def _filter(self, weight: np.ndarray) -> None:
@@ -152,17 +154,19 @@ class Lattices:
         mass = np.zeros(len(weight))  # weight of all paths from the unit's start
         mass[: self.width[0]] = 1.0
         self.cum = np.full(weight.shape, 2.0, np.float32)
-        units = np.arange(self.width[0])[:, None]
         for j in range(1, len(self.width)):
-            rows = slice(self.first[j], self.first[j] + self.width[j])
-            back = self.first[j - np.arange(1, min(j, longest) + 1)]
-            arcs = mass[units[: self.width[j]] + back]
-            arcs *= weight[rows, : len(back)]
-            sums = np.cumsum(arcs, axis=1, out=arcs)
-            mass[rows] = total = sums[:, -1].copy()
-            share = np.divide(sums, total[:, None], out=sums)
+            rows, n = slice(self.first[j], self.first[j] + self.width[j]), min(j, longest)
+            # One row per arc length; sums run down the rows.
+            sums = np.empty((n, self.width[j]))
+            for k in range(n):
+                start = self.first[j - k - 1]
+                np.multiply(mass[start : start + self.width[j]], weight[rows, k], out=sums[k])
+                if k:
+                    sums[k] += sums[k - 1]
+            mass[rows] = total = sums[-1].copy()
+            share = np.divide(sums, total, out=sums)
             share[share >= 1 - 1e-6] = 2.0
-            self.cum[rows, : len(back)] = share
+            self.cum[rows, :n] = share.T
             low = np.flatnonzero(total < 1e-150)
             if len(low):  # only ratios of near places matter
                 for k in range(min(j, longest) + 1):
